@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 #: The same set as a Java regular-expression class body.
 WS_CLASS = r"\s\x1c-\x1f\x85\p{Z}"
+#: White space that can stand inside a line.
+INNER_WS_CLASS = r"\t\x0b\f\r \x1c-\x1f\x85\p{Z}"
 #: Characters that end a line of text, newline included.
-LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x85  "
+LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
 
 #: Decimal number text: sign, digits, fraction, exponent, or a named special value.
 NUMBER_PATTERN = (
@@ -51,7 +53,9 @@ def safe_str(col: Column, max_len: int) -> Column:
 
 
 def _number_text(col: Column) -> Column:
-    return F.regexp_replace(strip(col.cast("string")), r"(?<=\d)_(?=\d)", "")
+    text = strip(col.cast("string"))
+    grouped = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
+    return F.when(F.contains(text, F.lit("_")), grouped).otherwise(text)
 
 
 def safe_float(col: Column) -> Column:
@@ -78,53 +82,6 @@ def strict_float_of_number(col: Column, name: str) -> Column:
     )
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased words longer than two characters; a slash separates words."""
-    return F.regexp_extract_all(
-        F.lower(F.replace(text, F.lit("/"), F.lit(" "))), F.lit(f"([^{WS_CLASS}]{{3,}})"), F.lit(1)
-    )
-
-
-def md5_bucket(text: Column, buckets: int) -> Column:
-    """The 128-bit md5 number modulo ``buckets``."""
-    if not 0 < buckets < 2**31:
-        raise ValueError("buckets must be between 1 and 2**31 - 1")
-    digest = F.md5(text.cast("binary"))
-    if buckets & (buckets - 1) == 0:
-        # A power of two only needs the low bits.
-        digits = max(1, -(-(buckets.bit_length() - 1) // 4))
-        return F.conv(F.right(digest, F.lit(digits)), 16, 10).cast("long") % buckets
-    words = [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)]
-    rest = words[0] % buckets
-    for word in words[1:]:
-        rest = (rest * (2**32) + word) % buckets
-    return rest
-
-
-def hashed_vector(text: Column, dimensions: int = 32) -> Column:
-    """Unit-length bag-of-tokens vector; a text without tokens gives all zeros.
-
-    Everything happens inside the row, so embedding a table needs no shuffle.
-    """
-    slots = F.sequence(F.lit(0), F.lit(dimensions - 1))
-
-    def scaled(counts: Column) -> Column:
-        norm = F.sqrt(F.aggregate(counts, F.lit(0).cast("double"), lambda acc, n: acc + n * n))
-        return let(
-            F.when(norm == 0, F.lit(1.0)).otherwise(norm),
-            lambda length: F.transform(counts, lambda n: n / length),
-        )
-
-    found = F.transform(tokens(text), lambda t: md5_bucket(t, dimensions))
-    counted = let(
-        found,
-        lambda all_of: F.transform(
-            slots, lambda slot: F.size(F.filter(all_of, lambda b: b == slot)).cast("double")
-        ),
-    )
-    return let(counted, scaled)
-
-
 def dot(left: Column, right: Column) -> Column:
     """Sum of products over the shorter of two arrays."""
     products = F.zip_with(

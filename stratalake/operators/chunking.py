@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions.text import LINE_ENDS, let, rstrip, strip
+from stratalake.functions.text import INNER_WS_CLASS, LINE_ENDS, let, strip
 
 PAGE_BREAK = "\f"
 #: Longest chunk, characters shared by neighbouring windows, shortest chunk.
@@ -14,9 +14,13 @@ TITLE_CHARS = 120
 
 
 def normalize_body(text: Column) -> Column:
-    """Unix line ends, no trailing blanks on any line, no blank ends."""
-    lines = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
-    return strip(F.array_join(F.transform(lines, rstrip), "\n"))
+    """Unix line ends, no trailing blanks on any line, no blank ends.
+
+    A run of blanks is looked at once, from its start, however long it is; the carriage
+    return of a Windows line end is one of them.
+    """
+    trailing = f"(?<![{INNER_WS_CLASS}])[{INNER_WS_CLASS}]++(?=\\n)"
+    return strip(F.regexp_replace(text, trailing, ""))
 
 
 def numbered_pages(text: Column) -> Column:

@@ -58,10 +58,9 @@ def metrics(df: DataFrame, specs: Sequence[Metric], by: Sequence[str] = ()) -> D
     return wide.unpivot(list(by), [spec.name for spec in specs], "kpi_name", "kpi_value")
 
 
-def order_kpis(silver: DataFrame, country: str = DEFAULT_COUNTRY, grain: str = "daily") -> DataFrame:
+def order_kpis(current: DataFrame, country: str = DEFAULT_COUNTRY, grain: str = "daily") -> DataFrame:
     """The three KPIs over current rows, with country and grain."""
-    rows = silver.where("is_current")
-    return metrics(rows, ORDER_METRICS).select(
+    return metrics(current, ORDER_METRICS).select(
         "kpi_name", "kpi_value", F.lit(country).alias("country"), F.lit(grain).alias("grain")
     )
 

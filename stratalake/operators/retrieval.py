@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from stratalake.functions.text import hashed_vector
+from stratalake.functions.embedding import CACHE_TOKENS, DIMENSIONS, hash_vectors, hashed_vector, words_of
 
 TOP_K = 4
 MAX_QUERIES = 4096
@@ -36,37 +36,62 @@ Prepare = Callable[[pd.DataFrame], Scorer]
 # Scoring ------------------------------------------------------------------------------
 
 
-def query_tokens(text: str) -> list[str]:
-    """Distinct lower-cased words longer than two characters."""
-    words = (text or "").lower().replace("/", " ").split()
-    return list(dict.fromkeys(w for w in words if len(w) > 2))
-
-
 def keyword_scorer(queries: pd.DataFrame) -> Scorer:
-    """Share of a query's distinct tokens found anywhere in title, text and source id."""
-    per_query = [query_tokens(text) for text in queries["query"]]
-    vocabulary = {t: i for i, t in enumerate(dict.fromkeys(t for q in per_query for t in q))}
-    weights = np.zeros((len(per_query), len(vocabulary)))
-    for row, words in enumerate(per_query):
+    """Share of a query's distinct tokens found anywhere in title, text and source id.
+
+    A token holds no white space, so it lies within one word of the chunk: the tokens
+    inside a word are looked up once and remembered, and a chunk's are those of its words.
+    """
+    per_query = [list(dict.fromkeys(words_of(text))) for text in queries["query"]]
+    vocabulary: dict[str, int] = {}
+    for words in per_query:
         for word in words:
-            weights[row, vocabulary[word]] = 1.0
+            vocabulary.setdefault(word, len(vocabulary))
     sizes = np.array([max(len(words), 1) for words in per_query], dtype=float)
-    find = _finder(vocabulary)
+    # Queries of each token, one after the other, with where each token's list starts.
+    pairs = sorted((vocabulary[w], row) for row, words in enumerate(per_query) for w in words)
+    users = np.array([row for _, row in pairs], dtype=np.int64)
+    degree = np.bincount([t for t, _ in pairs], minlength=len(vocabulary)).astype(np.int64)
+    starts = np.cumsum(degree) - degree
+    inside = _finder(vocabulary)
+    known: dict[str, frozenset[int]] = {}
+
+    def tokens_in(text: str) -> set[int]:
+        found: set[int] = set()
+        for word in set(text.split()):
+            hits = known.get(word)
+            if hits is None:
+                if len(known) >= CACHE_TOKENS:
+                    known.clear()
+                hits = known[word] = frozenset(inside(word))
+            if hits:
+                found |= hits
+        return found
 
     def score(chunks: pd.DataFrame) -> np.ndarray:
-        present = np.zeros((len(vocabulary), len(chunks)))
+        count = len(chunks)
+        hits: list[int] = []
+        owners: list[int] = []
         cells = zip(chunks["title"], chunks["text"], chunks["source_id"])
         for column, (title, text, source) in enumerate(cells):
-            hits = find(f"{title} {text} {source}".lower())
-            present[hits, column] = 1.0
-        # Whole numbers stay exact in the product; the division comes last.
-        return (weights @ present) / sizes[:, None]
+            found = tokens_in(f"{title} {text} {source}".lower())
+            hits.extend(found)
+            owners.extend([column] * len(found))
+        token = np.array(hits, dtype=np.int64)
+        many = degree[token]
+        ends = np.cumsum(many)
+        total = int(ends[-1]) if len(ends) else 0
+        # Position of every (token, query) pair in the lists of queries.
+        place = np.arange(total) - np.repeat(ends - many, many) + np.repeat(starts[token], many)
+        cell = users[place] * count + np.repeat(np.array(owners, dtype=np.int64), many)
+        found_counts = np.bincount(cell, minlength=len(sizes) * count)
+        return found_counts.reshape(len(sizes), count) / sizes[:, None]
 
     return score
 
 
 def _finder(vocabulary: dict[str, int]) -> Callable[[str], list[int]]:
-    """Token numbers that occur in a text: one walk for many tokens, plain search for few."""
+    """Token numbers inside a word: one walk for many tokens, plain search for few."""
     if len(vocabulary) > 64:
         try:
             import ahocorasick
@@ -77,9 +102,9 @@ def _finder(vocabulary: dict[str, int]) -> Callable[[str], list[int]]:
             for token, number in vocabulary.items():
                 machine.add_word(token, number)
             machine.make_automaton()
-            return lambda text: list({number for _, number in machine.iter(text)})
+            return lambda word: [number for _, number in machine.iter(word)]
     pairs = list(vocabulary.items())
-    return lambda text: [number for token, number in pairs if token in text]
+    return lambda word: [number for token, number in pairs if token in word]
 
 
 def _padded(vectors: Sequence[Sequence[float]], width: int) -> np.ndarray:
@@ -110,6 +135,17 @@ def vector_scorer(queries: pd.DataFrame) -> Scorer:
     return score
 
 
+def text_scorer(dimensions: int = DIMENSIONS) -> Prepare:
+    """Cosine of hashed vectors made on the spot from query and chunk texts."""
+
+    def prepare(queries: pd.DataFrame) -> Scorer:
+        known: dict[str, int] = {}
+        matrix = hash_vectors(queries["query"], dimensions, known)
+        return lambda chunks: matrix @ hash_vectors(chunks["text"], dimensions, known).T
+
+    return prepare
+
+
 # Top-k --------------------------------------------------------------------------------
 
 
@@ -238,11 +274,14 @@ def top_k(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], n
 _KEYWORD_NEEDS = ("title", "text", "source_id")
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"))
+
+
 def keyword_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, **bounds: int) -> DataFrame:
     """Queries (query_id, query) over chunks with title, text and source_id."""
-    wanted = queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"))
     lists = {"keyword": keyword_scorer}
-    return top_k(wanted, chunks, lists, _KEYWORD_NEEDS, ties, carry, k, **bounds).drop("list")
+    return top_k(_asked(queries), chunks, lists, _KEYWORD_NEEDS, ties, carry, k, **bounds).drop("list")
 
 
 def vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, **bounds: int) -> DataFrame:
@@ -252,16 +291,16 @@ def vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], car
     return top_k(wanted, chunks, lists, ("vector",), ties, carry, k, **bounds).drop("list")
 
 
-def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = 32, constant: int = 60, **bounds: int) -> DataFrame:
+def text_vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, **bounds: int) -> DataFrame:
+    """Queries (query_id, query) over chunk texts by hashed vectors, none of them stored."""
+    lists = {"vector": text_scorer(dimensions)}
+    return top_k(_asked(queries), chunks, lists, ("text",), ties, carry, k, **bounds).drop("list")
+
+
+def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, constant: int = 60, **bounds: int) -> DataFrame:
     """Keyword and hashed-vector lists joined by reciprocal rank: a hit adds 1 / (constant + rank)."""
-    text = F.coalesce("query", F.lit(""))
-    wanted = queries.select(
-        "query_id", text.alias("query"), hashed_vector(text, dimensions).alias("vector")
-    )
-    embedded = chunks.withColumn("vector", hashed_vector(F.col("text"), dimensions))
-    lists = {"keyword": keyword_scorer, "vector": vector_scorer}
-    needs = (*_KEYWORD_NEEDS, "vector")
-    hits = top_k(wanted, embedded, lists, needs, ties, carry, k, **bounds)
+    lists = {"keyword": keyword_scorer, "vector": text_scorer(dimensions)}
+    hits = top_k(_asked(queries), chunks, lists, _KEYWORD_NEEDS, ties, carry, k, **bounds)
     keys = list(dict.fromkeys(["query_id", *carry, *ties]))
     part = F.sum(F.lit(1.0) / (F.col("rank") + constant))
     return _ranked(hits.groupBy(*keys).agg(F.round(part, 12).alias("score")), ties, k)
@@ -270,7 +309,7 @@ def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], car
 # Embedding ----------------------------------------------------------------------------
 
 
-def with_hashed_vectors(df: DataFrame, text: str = "text", dimensions: int = 32) -> DataFrame:
+def with_hashed_vectors(df: DataFrame, text: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
     return df.withColumn("vector", hashed_vector(F.col(text), dimensions))
 
 

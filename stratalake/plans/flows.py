@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import quality
 from stratalake.operators.chunking import chunk_texts
-from stratalake.operators.history import flag_current, last_wins, upsert
+from stratalake.operators.history import current_versions, flag_current, last_wins, upsert
 from stratalake.operators.metrics import order_kpis
 from stratalake.operators.normalize import (
     FilterRule,
     apply_filters,
+    current_rows,
     entity_bronze,
     export_rows,
     orders_bronze,
@@ -67,13 +68,18 @@ def orders_silver(bronze: DataFrame) -> DataFrame:
     return flag_current(bronze, "order_id", "load_at", "_ord")
 
 
+def current_orders(bronze: DataFrame) -> DataFrame:
+    """The current rows alone, for metrics that need no history."""
+    return current_versions(bronze, "order_id", "load_at", "_ord")
+
+
 def run_orders(landing: DataFrame, root: str) -> dict[str, object]:
     """Orders through all layers to the gated KPI export. ``landing`` carries ``_ord``."""
     spark = landing.sparkSession
     layers = Layers(root, "orders")
     stats = run_layers(landing, layers, lambda d: orders_bronze(d, keep=("_ord",)), orders_silver)
     silver = spark.read.parquet(layers.path("silver"))
-    kpis = order_kpis(silver)
+    kpis = order_kpis(current_rows(silver))
     stats["gold"] = sinks.write_json(kpis, f"{root}/gold/kpi/orders_daily")
     gold = files.read_json(spark, f"{root}/gold/kpi/orders_daily", kpis.schema)
     quality.gate(quality.report(gold, quality.export_checks(gold)))

@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def day_text(col: Column, shift: Column | int = 0) -> Column:
-    return F.date_format(F.date_add(col.cast("date"), shift), "yyyy-MM-dd")
+    return F.date_add(col.cast("date"), shift).cast("string")
 
 
 # Orders ---------------------------------------------------------------------------------
@@ -110,7 +110,7 @@ def shop_orders_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.order_kpis(orders_silver(spark, sf_dir))
+    return metrics.order_kpis(flows.current_orders(orders_bronze(spark, sf_dir)))
 
 
 def kpi_metric_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,7 @@ def kpi_metric_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics.Metric("completing_customers", "count_distinct", "customer_id", done),
         metrics.Metric("completion_rate", "ratio", where=done, digits=4),
     ]
-    return metrics.metrics(normalize.current_rows(orders_silver(spark, sf_dir)), specs, ["priority"])
+    return metrics.metrics(flows.current_orders(orders_bronze(spark, sf_dir)), specs, ["priority"])
 
 
 def completed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -632,7 +632,7 @@ def whole_text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hashed_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = retrieval.with_hashed_vectors(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return d.select("doc_id", F.posexplode("vector").alias("dimension", "weight")).where(
+    return d.select("doc_id", F.posexplode_outer("vector").alias("dimension", "weight")).where(
         "weight > 0"
     ).withColumn("weight", F.round("weight", 9))
 
@@ -690,9 +690,8 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts against documents by hashed vectors."""
-    queries = retrieval.with_hashed_vectors(benchmark_queries(spark, sf_dir), "query")
-    chunks = retrieval.with_hashed_vectors(document_chunks(spark, sf_dir))
-    return _scored(retrieval.vector_top_k(queries, chunks, ["doc_id"]))
+    chunks = document_chunks(spark, sf_dir)
+    return _scored(retrieval.text_vector_top_k(benchmark_queries(spark, sf_dir), chunks, ["doc_id"]))
 
 
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -744,7 +743,9 @@ def quote_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbered notes of the covered queries, with their filled template."""
+    # Numbering reads the notes twice, so they are stored first.
     made = cards.render_notes(cards.note_records(found_queries(spark, sf_dir)))
+    made = sinks.stored(made, "notes")
     existing = table(spark, sf_dir, "region")
     keyed = sinks.append_numbered(existing, made, "query_id")
     return keyed.select(

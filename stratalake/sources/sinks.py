@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
+from stratalake.session import scratch
 from stratalake.sources.files import CLOUD_CSV, PLAIN_CSV
 
 
@@ -106,6 +107,13 @@ def for_each_table(
         return dict(zip(names, pool.map(wrapped, names)))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for results that are used twice."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_numbered(existing: DataFrame | None, fresh: DataFrame, order: str, name: str = "note_key", prefix: str = "NOTE-", width: int = 4) -> DataFrame:
     """Rows of ``fresh`` with keys that go on counting after the existing rows."""
     from stratalake.functions.text import numbered_id
