@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from stratalake.functions.embedding import CACHE_TOKENS, DIMENSIONS, hash_vectors, hashed_vector, words_of
+from stratalake.functions.embedding import DIMENSIONS, hash_vectors, hashed_vector, words_of
 
 TOP_K = 4
 MAX_QUERIES = 4096
@@ -37,11 +37,7 @@ Prepare = Callable[[pd.DataFrame], Scorer]
 
 
 def keyword_scorer(queries: pd.DataFrame) -> Scorer:
-    """Share of a query's distinct tokens found anywhere in title, text and source id.
-
-    A token holds no white space, so it lies within one word of the chunk: the tokens
-    inside a word are looked up once and remembered, and a chunk's are those of its words.
-    """
+    """Share of a query's distinct tokens found anywhere in title, text and source id."""
     per_query = [list(dict.fromkeys(words_of(text))) for text in queries["query"]]
     vocabulary: dict[str, int] = {}
     for words in per_query:
@@ -53,20 +49,7 @@ def keyword_scorer(queries: pd.DataFrame) -> Scorer:
     users = np.array([row for _, row in pairs], dtype=np.int64)
     degree = np.bincount([t for t, _ in pairs], minlength=len(vocabulary)).astype(np.int64)
     starts = np.cumsum(degree) - degree
-    inside = _finder(vocabulary)
-    known: dict[str, frozenset[int]] = {}
-
-    def tokens_in(text: str) -> set[int]:
-        found: set[int] = set()
-        for word in set(text.split()):
-            hits = known.get(word)
-            if hits is None:
-                if len(known) >= CACHE_TOKENS:
-                    known.clear()
-                hits = known[word] = frozenset(inside(word))
-            if hits:
-                found |= hits
-        return found
+    tokens_in = _finder(vocabulary)
 
     def score(chunks: pd.DataFrame) -> np.ndarray:
         count = len(chunks)
@@ -90,8 +73,8 @@ def keyword_scorer(queries: pd.DataFrame) -> Scorer:
     return score
 
 
-def _finder(vocabulary: dict[str, int]) -> Callable[[str], list[int]]:
-    """Token numbers inside a word: one walk for many tokens, plain search for few."""
+def _finder(vocabulary: dict[str, int]) -> Callable[[str], set[int]]:
+    """Token numbers inside a text: one walk for many tokens, plain search for few."""
     if len(vocabulary) > 64:
         try:
             import ahocorasick
@@ -102,9 +85,9 @@ def _finder(vocabulary: dict[str, int]) -> Callable[[str], list[int]]:
             for token, number in vocabulary.items():
                 machine.add_word(token, number)
             machine.make_automaton()
-            return lambda word: [number for _, number in machine.iter(word)]
+            return lambda text: {number for _, number in machine.iter(text)}
     pairs = list(vocabulary.items())
-    return lambda word: [number for token, number in pairs if token in word]
+    return lambda text: {number for token, number in pairs if token in text}
 
 
 def _padded(vectors: Sequence[Sequence[float]], width: int) -> np.ndarray:

@@ -591,3 +591,97 @@ ORACLES: dict[str, str] = {
         SELECT 'u-' || user_id AS id, upper(event_type) AS kind, event_id AS _ord, strftime(ts, '%Y-%m-%d') AS load_date
         FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""",
 }
+
+# Folds and evaluations ------------------------------------------------------------------
+
+_WEAK = """(length(words) > 0 AND (starts_with(lower(now), 'e ') OR starts_with(lower(now), 'and ')
+   OR starts_with(lower(now), 'também ') OR starts_with(lower(now), 'tambem ')
+   OR (NOT (contains(now, '?') AND length(words) >= 4) AND length(words) <= 4)))"""
+
+# Each turn's history is folded anew; the first letter of an item tells weak from strong.
+_FOLLOW = f"""
+u AS (
+  SELECT conv_id, turn, text, string_split_regex(text, '\\s+') AS w, length(text) % 4 AS kind
+  FROM conversations WHERE role = 'user'
+),
+m AS (
+  SELECT conv_id, turn * 2 AS turn, text AS message FROM u
+  UNION ALL
+  SELECT conv_id, turn * 2 + 1, CASE kind WHEN 0 THEN array_to_string(w[1:2], ' ') WHEN 1 THEN 'explica melhor'
+                                          WHEN 2 THEN 'E ' || text ELSE '  ' END FROM u
+),
+t AS (
+  SELECT *, trim(message, ' ' || chr(10)) AS now,
+         list_filter(string_split_regex(replace(trim(message, ' ' || chr(10)), '?', ' '), '\\s+'), lambda x: x <> '') AS words
+  FROM m
+),
+k AS (SELECT *, CASE WHEN {_WEAK} THEN 'w' ELSE 's' END || now AS tagged, {_WEAK} AS weak FROM t),
+h AS (SELECT *, list(tagged) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS hist FROM k),
+b AS (
+  SELECT *, substr(list_reduce(hist, lambda acc, x:
+    CASE WHEN x[1] = 's' OR length(acc) = 1 OR contains(lower(substr(x, 2)), lower(substr(acc, 2))) THEN x
+         ELSE 'w' || left(substr(acc, 2) || '. ' || substr(x, 2), 500) END), 2) AS bound_query FROM h
+),
+p AS (SELECT *, lag(bound_query, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS prior FROM b)"""
+
+_EVAL = f"""WITH {_FOUND},
+agg AS (
+  SELECT query_id, list_sort(list_distinct(list(page))) AS cited,
+         string_agg(text, ' ' ORDER BY rank) AS quoted, first({_snip(220)} ORDER BY rank) AS s220,
+         string_agg('[p.' || page || '] ' || text, chr(10) || chr(10) ORDER BY rank) AS evidence,
+         string_agg('- p.' || page || ' [' || id || ']: ' || {_snip(360)}, chr(10) ORDER BY rank) AS lines
+  FROM hit GROUP BY query_id
+),
+cases AS (
+  SELECT query_id, query, length(query) % 3 AS kind, query_id >= 0 AS wanted, cited IS NOT NULL AS covered,
+         CASE WHEN length(query) % 3 = 1 THEN [] ELSE coalesce(cited, []) END AS cited,
+         CASE WHEN query_id >= 0 THEN list_distinct([query_id % 7, query_id % 3]) ELSE [] END AS pages,
+         [lower(string_split(query, ' ')[1]), 'no such term'] AS terms, length(query) % 2 = 0 AS cite,
+         lower(CASE WHEN cited IS NULL THEN CASE length(query) % 3 WHEN 0 THEN '' WHEN 1 THEN ' ' ELSE 'O livro' END
+              WHEN length(query) % 3 = 0 THEN quoted
+              WHEN length(query) % 3 = 1 THEN query || ': ' || s220 || ' ' || evidence
+              ELSE 'Pergunta: ' || query || chr(10) || chr(10) || 'Segundo o livro:' || chr(10) || lines END) AS body
+  FROM asked LEFT JOIN agg USING (query_id)
+),
+judged AS (
+  SELECT query_id, list_filter([
+    CASE WHEN covered <> wanted THEN 'covered=' || CASE WHEN covered THEN 'True' ELSE 'False' END || ' expected ' ||
+         CASE WHEN wanted THEN 'True' ELSE 'False' END END,
+    CASE WHEN NOT list_has_all(cited, pages) THEN 'missing pages [' ||
+         array_to_string(list_sort(list_filter(pages, lambda x: NOT list_contains(cited, x))), ', ') || '] in [' ||
+         array_to_string(cited, ', ') || ']' END,
+    CASE WHEN wanted AND NOT (contains(body, terms[1]) OR contains(body, terms[2]))
+         THEN 'missing terms [' || chr(39) || terms[1] || chr(39) || ', ' || chr(39) || terms[2] || chr(39) || '] in answer' END,
+    CASE WHEN wanted AND cite AND NOT contains(body, 'p.') THEN 'answer missing page citation (p.N)' END,
+    CASE WHEN NOT wanted AND kind = 2 AND covered THEN 'uncovered topic must use the uncovered string' END
+  ], lambda x: x IS NOT NULL) AS errors FROM cases
+)"""
+
+ORACLES["retrieval_eval"] = f"""{_EVAL}
+    SELECT query_id, length(errors) = 0 AS ok, array_to_string(errors, ' | ') AS errors FROM judged"""
+ORACLES["eval_pass_rate"] = f"""{_EVAL}
+    SELECT count(*) AS cases, count(*) FILTER (WHERE length(errors) = 0) AS passed,
+           round(count(*) FILTER (WHERE length(errors) = 0) / count(*), 6) AS rate FROM judged"""
+ORACLES["followup_binding"] = f"""WITH {_FOLLOW}
+    SELECT conv_id, turn, message, bound_query,
+           CASE WHEN NOT weak OR now = '' OR prior = '' THEN false
+                WHEN contains(lower(now), lower(prior)) THEN lower(now) <> lower(prior) ELSE true END AS followup FROM p"""
+ORACLES["preference_profile"] = """
+    WITH f AS (
+      SELECT user_id, event_id, event_type || ' ' || json_extract_string(props, '$.k') AS c,
+             CASE WHEN value > 20 THEN 'long' END AS length,
+             CASE WHEN event_type <> 'click' THEN event_type END AS tone
+      FROM events WHERE event_type <> 'error'
+    ), g AS (
+      SELECT user_id, count(*) AS positive_count, max(event_id) AS updated_at,
+             coalesce(arg_max(length, event_id) FILTER (WHERE length IS NOT NULL), 'medium') AS length,
+             coalesce(arg_max(tone, event_id) FILTER (WHERE tone IS NOT NULL), 'practical') AS tone,
+             list_reduce(list(c ORDER BY event_id), lambda acc, x:
+               CASE WHEN list_contains(string_split(acc, '|'), x) THEN acc
+                    WHEN length(string_split(acc, '|')) >= 8 THEN array_to_string(list_append(string_split(acc, '|')[2:], x), '|')
+                    ELSE acc || '|' || x END) AS likes
+      FROM f GROUP BY user_id
+    )
+    SELECT *, 'User style (from positive feedback — follow this):' || chr(10) || '- length: ' || length || chr(10) ||
+           '- tone: ' || tone || chr(10) || '- always cite pages' || chr(10) ||
+           array_to_string(list_transform(string_split(likes, '|')[-5:], lambda x: '- ' || x), chr(10)) AS style_block FROM g"""

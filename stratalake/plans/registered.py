@@ -617,7 +617,7 @@ def whole_text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     root = scratch(spark, "books")
     line = F.concat(F.col("role"), F.lit(": "), F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
-    c.select(line.alias("value"), "role").write.partitionBy("role").text(f"{root}/texts")
+    c.select(line.alias("value"), "role").write.option("maxRecordsPerFile", 500).partitionBy("role").text(f"{root}/texts")
     texts = files.read_whole_text(spark, f"{root}/texts")
     flows.run_knowledge(texts, f"{root}/chunks", f"{root}/vectors")
     made = spark.read.parquet(f"{root}/chunks")
