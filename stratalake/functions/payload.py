@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratalake.functions.text import blank_to_null, let, strip
+from stratalake.functions.text import let, strip
 
 #: The tools a message may be routed to, and the words that mean yes.
 BOOK_TOOLS = ("ask", "note", "example", "quote")
@@ -18,36 +18,34 @@ _FENCE = r"(?is)```(?:json)?\s*(.*?)```"
 _OBJECT = r"(?s)\{.*\}"
 
 
-def _whole_json(raw: Column) -> Column:
-    """The text as one variant, or null. Wrapping it in brackets refuses trailing text."""
-    wrapped = F.try_variant_get(
+def _is_json(raw: Column) -> Column:
+    """True for one JSON value and nothing after it; brackets around it refuse a second one."""
+    items = F.try_variant_get(
         F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$", "array<variant>"
     )
-    return let(wrapped, lambda items: F.when(F.size(items) == 1, F.element_at(items, 1)))
+    return F.coalesce(F.size(items) == 1, F.lit(False))
 
 
 def response_json(text: Column) -> Column:
-    """The JSON value of a response: inside a fence, else the whole, else the outermost braces."""
+    """The JSON text of a response: inside a fence, else the whole, else its outermost braces."""
     stripped = strip(F.coalesce(text, F.lit("")))
     raw = F.when(
         stripped.rlike(_FENCE), strip(F.regexp_extract(stripped, _FENCE, 1))
     ).otherwise(stripped)
     return let(
-        raw,
-        lambda body: F.coalesce(
-            _whole_json(body), _whole_json(blank_to_null(F.regexp_extract(body, _OBJECT, 0)))
-        ),
+        raw, lambda body: F.when(_is_json(body), body).otherwise(F.regexp_extract(body, _OBJECT, 0))
     )
 
 
 def object_entries(text: Column) -> Column:
-    """Key/value entries with lower-cased keys; null unless the response is an object."""
+    """Key/value entries in text order with lower-cased keys; null unless the response is an object."""
+    wrapped = F.concat(F.lit("["), response_json(text), F.lit("]"))
     return let(
-        response_json(text),
-        lambda value: F.when(
-            F.schema_of_variant(value).startswith("OBJECT"),
+        F.from_json(wrapped, "array<map<string,variant>>"),
+        lambda objects: F.when(
+            F.size(objects) == 1,
             F.transform(
-                F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+                F.map_entries(F.element_at(objects, 1)),
                 lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
             ),
         ),

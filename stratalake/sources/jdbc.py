@@ -6,10 +6,10 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.sources.sinks import as_text_table
+from stratalake.sources.sinks import as_text_table, counted, for_each_table
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 #: Lake zone and file format behind each published schema.
@@ -36,44 +36,72 @@ class Split:
     parts: int
 
 
-def table_reader(
-    spark: SparkSession, url: str, table: str, split: Split | None = None, fetch: int = 10_000, **properties: str
-) -> DataFrameReader:
-    """A reader for one table; with a split every part is read by its own task."""
+def read_options(url: str, table: str, split: Split | None = None, fetch: int = 10_000) -> dict[str, str]:
+    """Connector options for one table; with a split every part is read by its own task."""
     check_identifier(*table.split("."))
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    reader = reader.option("fetchsize", fetch).options(**properties)
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetch)}
     if split:
         check_identifier(split.column)
-        reader = (
-            reader.option("partitionColumn", split.column)
-            .option("lowerBound", split.lower)
-            .option("upperBound", split.upper)
-            .option("numPartitions", split.parts)
-        )
-    return reader
+        options |= {
+            "partitionColumn": split.column,
+            "lowerBound": str(split.lower),
+            "upperBound": str(split.upper),
+            "numPartitions": str(split.parts),
+        }
+    return options
 
 
 def read_table(spark: SparkSession, url: str, table: str, split: Split | None = None, where: str | None = None, **properties: str) -> DataFrame:
     """A table, or the rows a condition keeps; Spark hands the condition to the database."""
-    df = table_reader(spark, url, table, split, **properties).load()
+    df = spark.read.format("jdbc").options(**read_options(url, table, split), **properties).load()
     return df.where(where) if where else df
 
 
-def publish_writer(df: DataFrame, url: str, layer: str, table: str, refresh: str = "replace", column_type: str = "VARCHAR(4000)", batch: int = 10_000, **properties: str) -> DataFrameWriter:
-    """A writer that replaces ``layer.table`` with text columns, or empties and refills it."""
-    check_identifier(layer, table, *df.columns)
+def publish_options(columns: Sequence[str], url: str, layer: str, table: str, refresh: str = "replace", column_type: str | None = None, batch: int = 10_000) -> dict[str, str]:
+    """Connector options that replace ``layer.table``, or empty and refill it.
+
+    Without a column type the database's own long text type is used.
+    """
+    check_identifier(layer, table, *columns)
     if layer not in PUBLISH_LAYERS:
         raise ValueError(f"unknown layer {layer!r}, expected one of {tuple(PUBLISH_LAYERS)}")
     if refresh not in ("replace", "truncate"):
         raise ValueError("refresh must be 'replace' or 'truncate'")
-    frame = as_text_table(df) if refresh == "replace" else df
-    writer = frame.write.format("jdbc").mode("overwrite").option("url", url)
-    writer = writer.option("dbtable", f"{layer}.{table}").option("batchsize", batch).options(**properties)
+    options = {"url": url, "dbtable": f"{layer}.{table}", "batchsize": str(batch)}
     if refresh == "truncate":
-        # Keep the table and its types; longer text is cut by the caller's typed_copy.
-        return writer.option("truncate", "true")
-    return writer.option("createTableColumnTypes", ", ".join(f"{c} {column_type}" for c in df.columns))
+        options["truncate"] = "true"
+    elif column_type:
+        options["createTableColumnTypes"] = ", ".join(f"{c} {column_type}" for c in columns)
+    return options
+
+
+def publish_table(df: DataFrame, url: str, layer: str, table: str, refresh: str = "replace", column_type: str | None = None, **properties: str) -> int:
+    """Publishes one table and returns its rows; an empty source is skipped and counts zero.
+
+    ``replace`` makes every column text. ``truncate`` keeps the target's types; cut long
+    text to the target's lengths with ``typed_copy`` first.
+    """
+    options = publish_options(df.columns, url, layer, table, refresh, column_type)
+    if df.isEmpty():
+        return 0
+    rows = as_text_table(df) if refresh == "replace" else df
+    return counted(
+        rows, lambda d: d.write.format("jdbc").mode("overwrite").options(**options, **properties).save()
+    )["rows"]
+
+
+def publish_all(frames: Mapping[tuple[str, str], DataFrame], url: str, base: Sequence[str], filtered: Sequence[str], parallel: int = 2, **properties: str) -> dict[str, object]:
+    """Publishes every (layer, table) of the plan, a few at a time; returns rows and their sum."""
+    plan = publish_plan(base, filtered)
+    spark = next(iter(frames.values())).sparkSession
+    names = [f"{layer}.{table}" for layer, table in plan]
+
+    def job(name: str) -> int:
+        layer, table = name.split(".", 1)
+        return publish_table(frames[layer, table], url, layer, table, **properties)
+
+    rows = for_each_table(spark, names, job, parallel)
+    return {"tables": rows, "total_rows": sum(rows.values())}
 
 
 def publish_plan(base: Sequence[str], filtered: Sequence[str]) -> list[tuple[str, str]]:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
+from stratalake.functions.text import numbered_id
+from stratalake.operators.history import number_rows
 from stratalake.session import scratch
 from stratalake.sources.files import CLOUD_CSV, PLAIN_CSV
 
@@ -23,7 +25,8 @@ def _refuse_empty(df: DataFrame, path: str) -> None:
         raise EmptyWrite(f"cannot write an empty table: {path}")
 
 
-def _counted(df: DataFrame, write: Callable[[DataFrame], None], measures: Mapping[str, object] | None = None) -> dict[str, int]:
+def counted(df: DataFrame, write: Callable[[DataFrame], None], measures: Mapping[str, object] | None = None) -> dict[str, int]:
+    """Runs a write and returns its row count and other measures, observed on the way."""
     seen = Observation()
     extra = [col.alias(name) for name, col in (measures or {}).items()]
     write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra))
@@ -35,12 +38,12 @@ def write_csv(df: DataFrame, path: str, cloud: bool = False) -> int:
     _refuse_empty(df, path)
     options = {**(CLOUD_CSV if cloud else PLAIN_CSV), "quoteAll": str(cloud).lower()}
     options.pop("multiLine", None)
-    return _counted(df, lambda d: d.write.mode("overwrite").options(**options).csv(path))["rows"]
+    return counted(df, lambda d: d.write.mode("overwrite").options(**options).csv(path))["rows"]
 
 
 def write_json(df: DataFrame, path: str) -> int:
     """Overwrite as JSON rows; empty tables are allowed and null fields are kept."""
-    return _counted(
+    return counted(
         df, lambda d: d.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     )["rows"]
 
@@ -49,7 +52,7 @@ def write_parquet(df: DataFrame, path: str, allow_empty: bool = False) -> int:
     """Overwrite as snappy Parquet; an empty table is an error unless allowed."""
     if not allow_empty:
         _refuse_empty(df, path)
-    return _counted(
+    return counted(
         df, lambda d: d.write.mode("overwrite").option("compression", "snappy").parquet(path)
     )["rows"]
 
@@ -78,7 +81,7 @@ def write_partitions(
             .save(path)
         )
 
-    return _counted(df, write, measures)
+    return counted(df, write, measures)
 
 
 def write_filtered(frames: Mapping[str, DataFrame], processing: str, curated: str) -> dict[str, int]:
@@ -116,9 +119,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def append_numbered(existing: DataFrame | None, fresh: DataFrame, order: str, name: str = "note_key", prefix: str = "NOTE-", width: int = 4) -> DataFrame:
     """Rows of ``fresh`` with keys that go on counting after the existing rows."""
-    from stratalake.functions.text import numbered_id
-    from stratalake.operators.history import number_rows
-
     numbered = number_rows(fresh, order, "_n")
     if existing is not None:
         # One row: the count so far.
