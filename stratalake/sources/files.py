@@ -8,9 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_CSV = {
+    "header": "true",
+    "sep": ",",
+    "quote": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 #: CSV options by dialect. The cloud one quotes all text and escapes with a backslash.
-PLAIN_CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}
-CLOUD_CSV = {"header": "true", "sep": ",", "quote": '"', "escape": "\\"}
+PLAIN_CSV = {**_CSV, "escape": '"', "multiLine": "true"}
+CLOUD_CSV = {**_CSV, "escape": "\\"}
 
 LAYERS = ("landing", "bronze", "silver", "gold")
 

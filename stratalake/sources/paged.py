@@ -120,5 +120,7 @@ def cut_pages(df: DataFrame, per_page: int, max_pages: int | None = None, page:
     filled = marks.unionByName(first).groupBy("p").agg(F.max("n").alias("n"))
     cut = filled.where(F.col("n") < per_page).agg(F.min("p").alias("_cut"))
     limit = F.col(page) <= F.col("_cut")
+    if max_pages is not None:
+        limit = limit & (F.col(page) <= max_pages)
     # One row, so the broadcast has a fixed size.
     return df.join(F.broadcast(cut), limit & (F.col(page) >= 1)).drop("_cut")
