@@ -73,15 +73,22 @@ def upsert(old: DataFrame, new: DataFrame, key: str, order: str = "_batch") -> D
     return last_wins(both, key, order).drop(order)
 
 
-def number_rows(df: DataFrame, order: str, name: str, start: Column | int = 1, block: int = 100_000) -> DataFrame:
+def number_rows(df: DataFrame, order: str, name: str, start: int = 1, block: int = 100_000) -> DataFrame:
     """Gapless running number by a unique integer ``order`` without one task seeing all rows.
 
-    Rows are numbered inside blocks of the order value; only the block counts, a
-    ``block``-th of the rows, meet in one window.
+    Rows are numbered inside equal ranges of the order value, cut to hold about ``block``
+    rows each; only the range counts, a ``block``-th of the rows, meet in one window. The
+    input is read three times, so store a costly one first.
     """
-    # A null never joins; the one null row a unique order may hold counts before all others.
-    blocked = df.withColumn(
-        "_block", F.coalesce(F.floor(F.col(order) / block), F.lit(-(2**62)).cast("long"))
+    value = F.col(order)
+    # One row: where the values start and how wide a range is.
+    width = F.greatest(
+        F.lit(1.0), (F.max(value).cast("double") - F.min(value) + 1) * block / F.count(value)
+    )
+    span = df.agg(F.min(value).alias("_low"), width.alias("_width"))
+    blocked = df.join(F.broadcast(span)).withColumn(
+        # A null never joins; the one null a unique order may hold counts before all others.
+        "_block", F.coalesce(F.floor((value.cast("double") - F.col("_low")) / F.col("_width")), F.lit(-1))
     )
     counts = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -89,9 +96,6 @@ def number_rows(df: DataFrame, order: str, name: str, start: Column | int = 1, b
         "_block", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
     )
     inside = F.row_number().over(Window.partitionBy("_block").orderBy(order))
-    base = F.lit(start) if isinstance(start, int) else start
-    return (
-        blocked.join(offsets, "_block")
-        .withColumn(name, base - 1 + F.col("_before") + inside)
-        .drop("_block", "_before")
+    return blocked.join(offsets, "_block").select(
+        *df.columns, (F.lit(start - 1) + F.col("_before") + inside).alias(name)
     )

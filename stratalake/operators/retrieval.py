@@ -10,6 +10,7 @@ Beyond that, queries and chunks are cut into blocks that meet group by group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -24,7 +25,7 @@ from stratalake.functions.embedding import DIMENSIONS, hash_vectors, hashed_vect
 TOP_K = 4
 MAX_QUERIES = 4096
 MAX_QUERY_BYTES = 64 * 2**20
-CHUNKS_PER_BLOCK = 20_000
+CHUNKS_PER_BLOCK, BLOCK_BYTES = 20_000, 64 * 2**20
 _CELLS = 4_000_000
 
 #: Scores a frame of chunks against the prepared queries: array (queries, chunks).
@@ -184,15 +185,16 @@ def _top_of(frames: Iterator[pd.DataFrame], queries: pd.DataFrame, lists: Mappin
     return all_of[["query_id", "list", "score", *carry]]
 
 
-def _fits_broadcast(queries: DataFrame, max_queries: int, max_bytes: int) -> bool:
+def _measure(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of their texts and vectors."""
     size = F.lit(0).cast("long")
-    for name, kind in queries.dtypes:
+    for name, kind in df.dtypes:
         if kind == "string":
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
         elif kind.startswith("array"):
             size = size + F.coalesce(F.size(name), F.lit(0)) * 8
-    found = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
-    return found["n"] <= max_queries and (found["bytes"] or 0) <= max_bytes
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
+    return found["n"], found["bytes"] or 0
 
 
 def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], ties: Sequence[str], carry: Sequence[str], k: int, max_queries: int, max_bytes: int) -> DataFrame:
@@ -204,7 +206,8 @@ def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepa
             *[T.StructField(name, chunks.schema[name].dataType) for name in carry],
         ]
     )
-    if _fits_broadcast(queries, max_queries, max_bytes):
+    query_count, query_bytes = _measure(queries)
+    if query_count <= max_queries and query_bytes <= max_bytes:
         block = queries.toPandas()
 
         def per_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,8 +218,10 @@ def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepa
 
     # Too many queries for every task to hold: query blocks times chunk blocks, each pair
     # of blocks one group of bounded size. Rows go to blocks by hash, so blocks are even.
-    query_blocks = -(-queries.count() * 4 // (max_queries * 3))
-    chunk_blocks = max(1, -(-chunks.count() // CHUNKS_PER_BLOCK))
+    chunk_count, chunk_bytes = _measure(chunks)
+    fill = 0.75
+    query_blocks = math.ceil(max(query_count / max_queries, query_bytes / max_bytes) / fill)
+    chunk_blocks = math.ceil(max(1, chunk_count / CHUNKS_PER_BLOCK, chunk_bytes / BLOCK_BYTES))
 
     def spread(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

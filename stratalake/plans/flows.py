@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,11 +47,15 @@ def same(df: DataFrame) -> DataFrame:
 
 
 def run_layers(
-    landing: DataFrame, layers: Layers, to_bronze: Step, to_silver: Step, write: Callable[[DataFrame, str], object] = sinks.write_parquet
+    landing: DataFrame, layers: Layers, to_bronze: Step, to_silver: Step
 ) -> dict[str, object]:
-    """Landing to bronze to silver; each layer is written once and read back by the next."""
+    """Landing to bronze to silver; each layer is written once and read back by the next.
+
+    An empty landing is an error, an empty later layer is not.
+    """
     spark = landing.sparkSession
-    counts = {"landing": write(landing, layers.path("landing"))}
+    write = partial(sinks.write_parquet, allow_empty=True)
+    counts = {"landing": sinks.write_parquet(landing, layers.path("landing"))}
     stored = spark.read.schema(landing.schema).parquet(layers.path("landing"))
     bronze = stored.transform(to_bronze)
     counts["bronze"] = write(bronze, layers.path("bronze"))

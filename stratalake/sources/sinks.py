@@ -72,8 +72,7 @@ def write_partitions(
 
     def write(d: DataFrame) -> None:
         (
-            d.hint("rebalance", *keys)
-            .write.mode("overwrite")
+            d.write.mode("overwrite")
             .format(fmt)
             .option("partitionOverwriteMode", "dynamic")
             .option("ignoreNullFields", "false")
@@ -81,7 +80,9 @@ def write_partitions(
             .save(path)
         )
 
-    return counted(df, write, measures)
+    # Counting comes after the exchange: tasks that only write are counted once each, while
+    # tasks before an exchange may run again when an executor is lost.
+    return counted(df.hint("rebalance", *keys), write, measures)
 
 
 def write_filtered(frames: Mapping[str, DataFrame], processing: str, curated: str) -> dict[str, int]:
