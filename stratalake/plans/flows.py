@@ -103,19 +103,19 @@ def run_entities(
     spark = landing.sparkSession
     day = dt.datetime.now(dt.timezone.utc).date().isoformat() if loaded is None else str(loaded)
     paths = {layer: f"{root}/{layer}/entities" for layer in files.LAYERS}
-    stats = {}
-    stats["landing"] = sinks.write_partitions(with_partition_keys(landing, day), paths["landing"])["rows"]
-
-    def stored(layer: str) -> DataFrame:
-        return files.read_partition(spark, paths[layer], day)
-
-    bronze = entity_bronze(stored("landing"), keep=("_ord", "p_country", "p_state", "load_date"))
-    stats["bronze"] = sinks.write_partitions(bronze, paths["bronze"])["rows"]
-    silver = last_wins(stored("bronze"), "id", "_ord")
-    stats["silver"] = sinks.write_partitions(silver, paths["silver"])["rows"]
-    ready = stored("silver")
-    quality.gate(quality.report(ready, quality.entity_checks(ready, minimum=minimum)))
-    stats["gold"] = sinks.write_partitions(to_gold(ready), paths["gold"])["rows"]
+    stats: dict[str, int] = {}
+
+    def land(layer: str, rows: DataFrame) -> DataFrame:
+        """Writes a layer and reads this load date back; keys stay text, so codes keep their zeros."""
+        stats[layer] = sinks.write_partitions(rows, paths[layer])["rows"]
+        return files.read_partition(spark, paths[layer], day, schema=rows.schema)
+
+    first = land("landing", with_partition_keys(landing, day))
+    keys = ("_ord", "p_country", "p_state", "load_date")
+    bronze = land("bronze", entity_bronze(first, keep=keys))
+    silver = land("silver", last_wins(bronze, "id", "_ord"))
+    quality.gate(quality.report(silver, quality.entity_checks(silver, minimum=minimum)))
+    land("gold", to_gold(silver))
     return stats
 
 

@@ -194,10 +194,10 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("2024-01-30", rows),
         ("2024-01-29", rows.where("brewery_type = 'BUILDING'")),
     ):
-        sinks.write_partitions(normalize.with_partition_keys(part, day), path)
-    return files.read_partition(spark, path, "2024-01-30").select(
-        "id", "p_country", "p_state", F.col("load_date").cast("string").alias("load_date"), "longitude"
-    )
+        keyed = normalize.with_partition_keys(part, day)
+        sinks.write_partitions(keyed, path)
+    found = files.read_partition(spark, path, "2024-01-30", schema=keyed.schema)
+    return found.select("id", "p_country", "p_state", "load_date", "longitude")
 
 
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

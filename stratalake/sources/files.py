@@ -74,7 +74,10 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, lines: bool
 
 
 def read_partition(spark: SparkSession, base: str, load_date: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
-    """All countries and states of one load date; only the matching folders are opened."""
+    """All countries and states of one load date; only the matching folders are opened.
+
+    Give the schema where folder names hold codes: Spark guesses numbers from them otherwise.
+    """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)

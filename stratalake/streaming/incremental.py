@@ -48,7 +48,7 @@ def incremental_silver(
         written = write_partitions(rows, bronze, [load_date, "batch_id"])["rows"]
         if not written:
             return
-        stored = spark.read.parquet(bronze)
+        stored = spark.read.schema(rows.schema).parquet(bronze)
         # The dates this batch wrote, read from its own folders.
         touched = stored.where(F.col("batch_id") == batch_id).select(load_date).distinct()
         affected = stored.join(touched, load_date, "left_semi").drop("batch_id")

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -101,7 +102,7 @@ def test_entities_run(spark, tmp_path):
     rows = [
         {**base, "id": "0", "name": "MadTree", "longitude": "-84.42", "_ord": 0},
         {**base, "id": "1", "name": "n" * 300, "longitude": "bad", "state": "", "state_province": "New  York", "_ord": 1},
-        {**base, "id": "2", "name": "Dog", "country": "", "_ord": 2},
+        {**base, "id": "2", "name": "Dog", "country": "", "state": "007", "_ord": 2},
         {**base, "id": "0", "name": "MadTree Duplicate", "_ord": 3},
     ]
     schema = "id string, name string, brewery_type string, city string, state string, state_province string, country string, longitude string, _ord long"
@@ -111,6 +112,7 @@ def test_entities_run(spark, tmp_path):
     again = flows.run_entities(df, str(tmp_path), "2026-08-11")
     assert again == stats
     gold = {r.id: r for r in spark.read.parquet(f"{tmp_path}/gold/entities").collect()}
+    assert os.path.isdir(f"{tmp_path}/gold/entities/p_country=UNKNOWN/p_state=007")
     assert gold["0"].name == "MadTree Duplicate" and gold["0"].longitude is None
     assert len(gold["1"].name) == 255 and gold["1"].p_state == "NEW__YORK"
     assert (gold["0"].p_country, gold["0"].p_state, gold["2"].p_country) == ("UNITED STATES", "OHIO", "UNKNOWN")
