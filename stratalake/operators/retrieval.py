@@ -26,6 +26,7 @@ TOP_K = 4
 MAX_QUERIES = 4096
 MAX_QUERY_BYTES = 64 * 2**20
 CHUNKS_PER_BLOCK, BLOCK_BYTES = 20_000, 64 * 2**20
+PARTS_PER_BLOCK = 16
 _CELLS = 4_000_000
 
 #: Scores a frame of chunks against the prepared queries: array (queries, chunks).
@@ -218,9 +219,11 @@ def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepa
 
     # Too many queries for every task to hold: query blocks times chunk blocks, each pair
     # of blocks one group of bounded size. Rows go to blocks by hash, so blocks are even.
+    # A group takes its queries a few at a time, which saves copies of the chunks.
     chunk_count, chunk_bytes = _measure(chunks)
     fill = 0.75
-    query_blocks = math.ceil(max(query_count / max_queries, query_bytes / max_bytes) / fill)
+    most = max_queries * PARTS_PER_BLOCK
+    query_blocks = math.ceil(max(query_count / most, query_bytes / max_bytes) / fill)
     chunk_blocks = math.ceil(max(1, chunk_count / CHUNKS_PER_BLOCK, chunk_bytes / BLOCK_BYTES))
 
     def spread(n: int) -> Column:
@@ -237,7 +240,12 @@ def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepa
     def per_pair(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         if mine.empty or theirs.empty:
             return pd.DataFrame(columns=out.names)
-        return _top_of(iter([theirs]), mine.reset_index(drop=True), lists, ties, carry, k)
+        parts = [
+            mine.iloc[start : start + max_queries].reset_index(drop=True)
+            for start in range(0, len(mine), max_queries)
+        ]
+        found = [_top_of(iter([theirs]), part, lists, ties, carry, k) for part in parts]
+        return pd.concat(found, ignore_index=True)
 
     keys = ["_qb", "_cb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(per_pair, out)

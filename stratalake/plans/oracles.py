@@ -685,3 +685,11 @@ ORACLES["preference_profile"] = """
     SELECT *, 'User style (from positive feedback — follow this):' || chr(10) || '- length: ' || length || chr(10) ||
            '- tone: ' || tone || chr(10) || '- always cite pages' || chr(10) ||
            array_to_string(list_transform(string_split(likes, '|')[-5:], lambda x: '- ' || x), chr(10)) AS style_block FROM g"""
+ORACLES["custom_embeddings"] = ORACLES["hashed_embeddings"]
+ORACLES["label_cosine"] = """
+    WITH x AS (
+      SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings
+    ),
+    m AS (SELECT label, pos, avg(v) AS v FROM x GROUP BY label, pos)
+    SELECT vec_id, round(sum(x.v * m.v) / (sqrt(sum(x.v * x.v)) * sqrt(sum(m.v * m.v))), 9) AS cosine
+    FROM x JOIN m USING (label, pos) GROUP BY vec_id"""

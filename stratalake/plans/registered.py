@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions import payload
 from stratalake.functions import text as tx
+from stratalake.functions.embedding import hash_vectors
 from stratalake.operators import cards, generate, history, metrics, normalize, quality, retrieval, sessions
 from stratalake.operators.chunking import chunk_defaults, chunk_texts, split_pages
 from stratalake.plans import flows
@@ -637,6 +638,26 @@ def hashed_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("weight", F.round("weight", 9))
 
 
+def custom_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vectors through the hook for any Python embedder, in batches of sixteen."""
+
+    def embed(texts: list[str]) -> list[list[float]]:
+        return hash_vectors(texts).tolist()
+
+    d = retrieval.embed_with(table(spark, sf_dir, "documents").select("doc_id", "text"), embed)
+    return d.select("doc_id", F.posexplode_outer("vector").alias("dimension", "weight")).where(
+        "weight > 0"
+    ).withColumn("weight", F.round("weight", 9))
+
+
+def label_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine of every vector with the mean vector of its label."""
+    e = table(spark, sf_dir, "embeddings")
+    means = label_means(e)
+    paired = e.join(means, e.label == means.query_id)
+    return paired.select("vec_id", F.round(tx.cosine(F.col("embedding"), F.col("vector")), 9).alias("cosine"))
+
+
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as one chunk; the document number keeps the input order."""
     d = table(spark, sf_dir, "documents")
@@ -673,10 +694,8 @@ def keyword_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(retrieval.keyword_top_k(benchmark_queries(spark, sf_dir), chunks, ["doc_id"]))
 
 
-def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mean vector of each label against all vectors."""
-    e = table(spark, sf_dir, "embeddings")
-    means = (
+def label_means(e: DataFrame) -> DataFrame:
+    return (
         e.select("label", F.posexplode("embedding").alias("pos", "x"))
         .groupBy("label", "pos")
         .agg(F.avg(F.col("x").cast("double")).alias("x"))
@@ -684,6 +703,12 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
         .select("query_id", F.transform("v", lambda p: p["x"]).alias("vector"))
     )
+
+
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean vector of each label against all vectors."""
+    e = table(spark, sf_dir, "embeddings")
+    means = label_means(e)
     chunks = e.select("vec_id", F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("vector"))
     return _scored(retrieval.vector_top_k(means, chunks, ["vec_id"]))
 
@@ -922,7 +947,7 @@ QUERIES: dict[str, Query] = {
         customers_by_nation, bi_join, seed_customers, seed_sellers, seed_orders, seed_items,
         seed_payments, seed_reviews, page_cut, required_fields, llm_json_extract, route_extract,
         prompt_fingerprint, storage_uris, chunk_documents, chunk_pages, page_split,
-        chunk_projection, whole_text_chunks, hashed_embeddings, keyword_topk, vector_topk,
+        chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, vector_topk,
         text_vector_topk, hybrid_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
         notes, retrieval_eval, eval_pass_rate, prompt_context, followup_binding, last_turn,
         preference_profile, preference_profile_few, trace_summary, last_trace, stream_dedupe,

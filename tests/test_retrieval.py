@@ -48,7 +48,7 @@ def as_set(df):
     return {(r.query_id, r.id, r.rank, round(r.score, 9)) for r in df.collect()}
 
 
-def test_keyword_against_loop(spark):
+def test_keyword_against_loop(spark, monkeypatch):
     chunks, cdf = corpus(spark)
     queries, qdf = asked(spark)
     expected = plain_keyword(queries, chunks, 4)
@@ -57,7 +57,10 @@ def test_keyword_against_loop(spark):
     blocked = retrieval.keyword_top_k(qdf, cdf, ["ord"], max_queries=7)
     assert "FlatMapCoGroups" in blocked._jdf.queryExecution().executedPlan().toString()
     assert as_set(blocked) == expected
-    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"], max_bytes=10)) == expected
+    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"], max_bytes=100)) == expected
+    monkeypatch.setattr(retrieval, "CHUNKS_PER_BLOCK", 30)
+    monkeypatch.setattr(retrieval, "PARTS_PER_BLOCK", 1)
+    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"], max_queries=4)) == expected
 
 
 def test_plain_search_equals_one_walk():
