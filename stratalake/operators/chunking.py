@@ -16,10 +16,11 @@ TITLE_CHARS = 120
 def normalize_body(text: Column) -> Column:
     """Unix line ends, no trailing blanks on any line, no blank ends.
 
-    A run of blanks is looked at once, from its start, however long it is; the carriage
-    return of a Windows line end is one of them.
+    A run of blanks is looked at once, from its first one, however long it is; the
+    carriage return of a Windows line end is one of them.
     """
-    trailing = f"(?<![{INNER_WS_CLASS}])[{INNER_WS_CLASS}]++(?=\\n)"
+    blank = f"[{INNER_WS_CLASS}]"
+    trailing = f"{blank}(?<!{blank}{blank}){blank}*+(?=\\n)"
     return strip(F.regexp_replace(text, trailing, ""))
 
 

@@ -64,13 +64,22 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType, lines: bool = True) -> DataFrame:
-    """JSON rows: one object a line as our writers leave them, or whole files holding one list.
+def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON rows, one object a line as our writers leave them; a broken line fails the job."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
-    A file that is no list of objects fails the job.
+
+def read_json_list(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Whole files that each hold one list of objects; other content fails the job.
+
+    Spark skips files of no length.
     """
-    reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    return reader.option("multiLine", str(not lines).lower()).json(path)
+    content = F.btrim(F.col("value"), F.lit(" \n\r\t\ufeff"))
+    listed = F.when(content.startswith("["), content).otherwise(
+        F.raise_error(F.concat(F.lit("not a JSON list: "), F.left(content, F.lit(40))))
+    )
+    rows = F.from_json(listed, T.ArrayType(schema), {"mode": "FAILFAST"})
+    return spark.read.text(path, wholetext=True).select(F.inline(rows))
 
 
 def read_partition(spark: SparkSession, base: str, load_date: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:

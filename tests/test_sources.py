@@ -54,11 +54,15 @@ def test_json_keeps_nulls_and_refuses_objects(spark, tmp_path):
     lines = spark.read.text(str(tmp_path / "j")).collect()
     assert sum('"note":null' in r.value for r in lines) == 1
     listed = tmp_path / "list.json"
-    listed.write_text(json.dumps([{"customer_id": "c"}]))
-    assert files.read_json(spark, str(listed), zips(spark).schema, lines=False).count() == 1
-    listed.write_text('"text"')
-    with pytest.raises(Exception):
-        files.read_json(spark, str(listed), zips(spark).schema, lines=False).collect()
+    listed.write_text(json.dumps([{"customer_id": "c", "zip": "01"}, {"customer_id": "d"}], indent=1))
+    rows = files.read_json_list(spark, str(listed), zips(spark).schema).collect()
+    assert [(r.customer_id, r.zip) for r in rows] == [("c", "01"), ("d", None)]
+    listed.write_text("[]")
+    assert files.read_json_list(spark, str(listed), zips(spark).schema).count() == 0
+    for broken in ('"text"', '{"customer_id": "c"}', "[1", "[1]"):
+        listed.write_text(broken)
+        with pytest.raises(Exception):
+            files.read_json_list(spark, str(listed), zips(spark).schema).collect()
 
 
 def test_partition_overwrite_and_pruning(spark, tmp_path):

@@ -76,6 +76,26 @@ def test_current_flag_against_loop(spark):
     )
 
 
+def test_hot_key_spreads_over_partitions(spark):
+    count = 20_000
+    df = spark.range(count).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit("2024-01-01").alias("v"),
+        F.col("id").alias("p"),
+    )
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        flagged = history.flag_current(df, "k", "v", "p")
+        sizes = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == count and max(sizes) < count * 0.4
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
 def test_flag_needs_order(spark):
     with pytest.raises(ValueError, match="missing columns"):
         history.flag_current(spark.createDataFrame([("a", "b")], "k string, v string"), "k", "v", "p")
