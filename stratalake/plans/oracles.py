@@ -263,7 +263,7 @@ bodies AS (
   FROM lines
 )"""
 
-_COLS = "query_id, id, rank, round(round(score, 12), 9) AS score"
+_COLS = "query_id, id, CAST(rank AS INTEGER) AS rank, round(round(score, 12), 9) AS score"
 
 ORACLES: dict[str, str] = {
     "orders_bronze": f"WITH {_DELIVERIES} SELECT * FROM bronze",
@@ -514,7 +514,7 @@ ORACLES: dict[str, str] = {
         ql AS (SELECT query_id, sqrt(sum(v * v)) AS len FROM q GROUP BY query_id),
         xl AS (SELECT vec_id, sqrt(sum(v * v)) AS len FROM x GROUP BY vec_id),
         d AS (SELECT query_id, vec_id, sum(q.v * x.v) AS d FROM q JOIN x USING (pos) GROUP BY query_id, vec_id)
-        SELECT query_id, CAST(vec_id AS VARCHAR) AS id, rank, round(round(score, 12), 9) AS score FROM (
+        SELECT query_id, CAST(vec_id AS VARCHAR) AS id, CAST(rank AS INTEGER) AS rank, round(round(score, 12), 9) AS score FROM (
           SELECT query_id, vec_id, d / (ql.len * xl.len) AS score,
                  row_number() OVER (PARTITION BY query_id ORDER BY round(d / (ql.len * xl.len), 12) DESC, vec_id) AS rank
           FROM d JOIN ql USING (query_id) JOIN xl USING (vec_id)
@@ -526,8 +526,9 @@ ORACLES: dict[str, str] = {
           FROM (SELECT query_id, id, doc_id, rank FROM kw UNION ALL SELECT query_id, id, doc_id, rank FROM vec)
           GROUP BY query_id, id, doc_id
         )
-        SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS rank,
-               round(round(score, 12), 9) AS score FROM pool QUALIFY rank <= 4""",
+        SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS INTEGER) AS rank,
+               round(round(score, 12), 9) AS score FROM pool
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) <= 4""",
     "vector_upsert": """
         SELECT vec_id, label, round(CAST(CASE WHEN label = 3 THEN -embedding[1] ELSE embedding[1] END AS DOUBLE), 6) AS x FROM embeddings
         UNION ALL SELECT -vec_id - 1, label, round(CAST(-embedding[1] AS DOUBLE), 6) FROM embeddings WHERE label = 3""",
