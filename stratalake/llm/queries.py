@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe
+from stratalake.llm import bpe, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +24,14 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN, outputs).drop("text")
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best covered benchmark item and verdict for every document."""
+    return tiling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
+    "op9_decontamination": decontamination,
 }
 
 ORACLES: dict[str, str] = {}
