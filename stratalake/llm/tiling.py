@@ -19,12 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm import wordhash
+from stratalake.llm import bitmaps, wordhash
 from stratalake.session import scratch
 
-#: The bitmap of the benchmark's seeds has this many bits (2 MB), whatever the size of the benchmark.
-BITMAP_BITS = 1 << 24
-
 MIN_MATCH = 5
 COVERAGE = 0.6
 
@@ -56,28 +53,6 @@ def item_words(benchmark: DataFrame, item: str, text: str, min_match: int) -> Da
     return items.mapInArrow(run, f"item_id {kind}, words array<long>, seeds array<long>")
 
 
-def seed_bitmap(seeds: DataFrame) -> bytes:
-    """Bit ``seed mod BITMAP_BITS`` of every seed; at most BITMAP_BITS / 32768 rows of 4 KB reach the driver."""
-    bit = F.pmod(F.col("seed"), F.lit(BITMAP_BITS))
-    rows = (
-        seeds.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-        .collect()
-    )
-    out = np.zeros((BITMAP_BITS // 32768 + 2, 4096), np.uint8)
-    for row in rows:
-        out[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.tobytes()
-
-
-def _in_bitmap(bitmap: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    # bucket numbers start at 1 for bits 1 to 32768, and bit 0 lies in bucket 0
-    bit = (seeds.view(np.int64) % BITMAP_BITS).astype(np.int64)
-    bucket = np.where(bit > 0, (bit - 1) // 32768 + 1, 0)
-    place = np.where(bit > 0, (bit - 1) % 32768, 0)
-    return (bitmap[bucket * 4096 + place // 8] >> (place % 8).astype(np.uint8)) & 1 > 0
-
-
 def seeded_words(docs: DataFrame, bitmap: bytes, key: str, text: str, min_match: int) -> DataFrame:
     """Per row with a seed in the bitmap: ``doc``, its ``runs`` of words under such seeds, and those ``seeds``.
 
@@ -91,7 +66,7 @@ def seeded_words(docs: DataFrame, bitmap: bytes, key: str, text: str, min_match:
         for batch in batches:
             words, before = _words(batch.column(1))
             seeds, at = wordhash.windows(words, before, min_match)
-            hit = _in_bitmap(bits, seeds)
+            hit = bitmaps.contains(bits, seeds)
             seeds, at = seeds[hit], at[hit]
             row = np.searchsorted(before, at, "right") - 1
             rows, first = np.unique(row, return_index=True)
@@ -183,7 +158,7 @@ def coverages(
     item_words(benchmark, item, item_text, min_match).write.parquet(f"{folder}/items")
     items = spark.read.parquet(f"{folder}/items")
     seeds = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
-    found = seeded_words(docs, seed_bitmap(seeds), key, text, min_match)
+    found = seeded_words(docs, bitmaps.build(seeds, "seed"), key, text, min_match)
     found.withColumn("part", F.monotonically_increasing_id()).write.parquet(f"{folder}/docs")
     seeded = spark.read.parquet(f"{folder}/docs")
     pairs = (
