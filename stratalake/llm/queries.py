@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, tiling
+from stratalake.llm import bpe, minhash, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN, outputs).drop("text")
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near-duplicates of every document, by sets of four-word windows."""
+    docs = table(spark, sf_dir, "documents")
+    return minhash.clusters(docs, width=4).withColumnRenamed("doc", "doc_id")
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best covered benchmark item and verdict for every document."""
     return tiling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -31,6 +37,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
+    "op5_hyperminhash": near_duplicates,
     "op9_decontamination": decontamination,
 }
 

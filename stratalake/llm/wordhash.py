@@ -142,7 +142,7 @@ def windows(hashes: np.ndarray, before: np.ndarray, width: int) -> tuple[np.ndar
 
 def sequence_hash(hashes: np.ndarray) -> int:
     """One hash for a whole sequence of words."""
-    out = np.uint64(len(hashes))
+    out = np.array([len(hashes)], np.uint64)
     for h in hashes:
-        out = mix(np.array([out * np.uint64(_BASE) + h], np.uint64))[0]
-    return int(out)
+        out = mix(out * np.uint64(_BASE & _MASK) + h)
+    return int(out[0])
