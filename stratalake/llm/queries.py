@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, minhash, tiling
+from stratalake.llm import bpe, fuzzylines, minhash, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN, outputs).drop("text")
 
 
+def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fuzzylines.deduplicate(docs)
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of near-duplicates of every document, by sets of four-word windows."""
     docs = table(spark, sf_dir, "documents")
@@ -37,6 +43,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
+    "op4_fuzzy_lines": fuzzy_lines,
     "op5_hyperminhash": near_duplicates,
     "op9_decontamination": decontamination,
 }

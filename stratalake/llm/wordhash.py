@@ -146,3 +146,20 @@ def sequence_hash(hashes: np.ndarray) -> int:
     for h in hashes:
         out = mix(out * np.uint64(_BASE & _MASK) + h)
     return int(out[0])
+
+
+def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20):
+    """Consecutive parts of a batch with at most ``limit`` bytes of text each, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // limit
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
+        yield batch.slice(a, b - a)
+
+
+def segment_hashes(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """One hash per segment for its whole sequence of words; segments without words get the mix of zero."""
+    power, inverse = _tables(len(hashes) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[: len(hashes)], dtype=np.uint64)])
+    counts = np.diff(before).astype(np.uint64)
+    return mix((total[before[1:]] - total[before[:-1]]) * inverse[before[:-1]] + counts)
