@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, fuzzylines, minhash, tiling
+from stratalake.llm import bpe, fuzzylines, minhash, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,15 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.clusters(docs, width=4).withColumnRenamed("doc", "doc_id")
 
 
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity of every document; documents whose id hash leaves 2 never train."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= toxicity.CUT).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best covered benchmark item and verdict for every document."""
     return tiling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": byte_bpe,
     "op4_fuzzy_lines": fuzzy_lines,
     "op5_hyperminhash": near_duplicates,
+    "op6_toxicity": toxic_scores,
     "op9_decontamination": decontamination,
 }
 
