@@ -10,8 +10,10 @@ Five registers make a band key. Nodes with a common band key are candidates, set
 1. Every node meets the least node of each of its buckets. Register matches, corrected for chance collisions, give
    an estimate; pairs whose estimate is beyond five standard errors below the threshold are dropped, the rest are
    confirmed on full sets, and links are merged into components.
-2. In buckets that still hold several components, members of different components meet. A node of whose windows
-   more than the threshold allows occur in no other such node can have no link and stays out of these pairs.
+2. Buckets that still hold several components are settled exactly. A node of whose windows more than the threshold
+   allows occur in no other such node can have no link. The others meet the smallest set of each bucket; two nodes
+   of different components can only be linked if they share windows that this smallest set lacks (the reason is
+   with :func:`_crossed`), and a join on the rarest of those windows finds them.
 
 So a bucket of copies costs rows in proportion to its members, and no link between candidates is lost: pairs that
 are never compared already share a component. Band recall at similarity 0.8 is 1 - (1 - 0.8**5)**32 = 0.999997.
@@ -139,7 +141,7 @@ def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in wordhash.slices(whole, 1)):
             values, starts = shingle_sets(batch.column(1), width)
             sizes = np.diff(starts)
             regs = registers(values, starts)
@@ -207,7 +209,7 @@ def _full_sets(docs: DataFrame, key: str, text: str, width: int, wanted: DataFra
             yield batch.filter(pa.array(bitmaps.contains(bits, batch.column(1).to_numpy())))
 
     def shingles(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in wordhash.slices(whole, 1)):
             values, starts = shingle_sets(batch.column(1), width)
             hit = [
                 hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() == n
@@ -290,16 +292,14 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
         .select("node", size.alias("n"))
     )
     again = stored(_mixed(mixed.join(live, "node")), "again")
-    a, b = again.alias("a"), again.alias("b")
-    across = a.join(
-        b,
-        (F.col("a.bucket") == F.col("b.bucket"))
-        & (F.col("a.label") < F.col("b.label"))
-        & (100 * F.least("a.n", "b.n") >= PERCENT * F.greatest("a.n", "b.n")),
-    )
-    crossed = across.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    late = _confirmed(_estimated(crossed, nodes), open_sets)
-    labels = components(links.unionByName(late))
+    small = again.groupBy("bucket").agg(F.min(F.struct("n", "node")).alias("small"))
+    met = again.join(small, "bucket").where("node != small.node")
+    met = met.select(F.col("node").alias("a"), F.col("small.node").alias("b")).distinct()
+    against = stored(_against(met, open_sets), "against")
+    links = links.unionByName(against.where("linked").select("a", "b"))
+    labels = components(links)
+    crossed = stored(_crossed(against, labels), "crossed")
+    labels = components(links.unionByName(_confirmed(_estimated(crossed, nodes), open_sets)))
 
     owned = rows.drop("regs").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = owned.where("label IS NOT NULL").groupBy("label").agg(F.min("doc").alias("least"))
@@ -312,6 +312,63 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     )
 
 
+def _against(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their sizes ``na``, ``nb``, their ``common`` windows, whether ``linked``, and a's ``extra`` ones."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+
+    def run(batches):
+        for batch in batches:
+            extra, sizes = [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x = x.values.to_numpy(zero_copy_only=False)
+                y = y.values.to_numpy(zero_copy_only=False)
+                extra.append(np.setdiff1d(x, y, assume_unique=True))
+                sizes.append((len(x), len(y)))
+            na, nb = np.array(sizes, np.int64).reshape(-1, 2).T
+            common = na - np.array([len(e) for e in extra], np.int64)
+            linked = 100 * common >= PERCENT * (na + nb - common)
+            columns = [batch.column(0), batch.column(1), *(pa.array(x) for x in (na, nb, common, linked))]
+            columns.append(pa.array(extra, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "na", "nb", "common", "linked", "extra"])
+
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+    schema = "a binary, b binary, na long, nb long, common long, linked boolean, extra array<long>"
+    return both.mapInArrow(run, schema)
+
+
+def _crossed(against: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that met the same smallest node h, without being in one component, and may be linked.
+
+    Let x and y be linked and x not linked to h, which is no larger than y. What x and y have in common is at most
+    what x and h have in common, too little even with h, and windows that h lacks. So x and y share windows beyond
+    those of h, at least the number ``need`` that x misses. Only windows shared by different components count, and
+    of ``k`` such windows of x one of the ``k - need + 1`` rarest must be among the shared ones.
+    """
+    known = against.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("label", F.coalesce("label", "a"))
+    total = 100 + PERCENT
+    # least |x and y| over sizes of y from max(nb, PERCENT * na / 100) on
+    least = F.ceil(PERCENT * (F.col("na") + F.greatest("nb", F.ceil(F.col("na") * PERCENT / 100))) / total)
+    need = F.greatest(F.lit(1), least - F.col("common")).alias("need")
+    rows = known.select("a", "b", "label", "linked", need, F.explode("extra").alias("shingle"))
+    common = rows.groupBy("b", "shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
+    )
+    common = common.where("low < high").select("b", "shingle", "members")
+    rows = rows.join(common, ["b", "shingle"])
+    probes = (
+        rows.where("NOT linked")
+        .groupBy("a", "b", "label", "need")
+        .agg(F.sort_array(F.collect_list(F.struct("members", "shingle"))).alias("ranked"))
+        .where(F.size("ranked") >= F.col("need"))
+        .select("a", "b", "label", F.explode(F.expr("slice(ranked, 1, size(ranked) - cast(need as int) + 1)")).alias("r"))
+        .select("a", "b", "label", F.col("r.shingle").alias("shingle"))
+    )
+    others = rows.select(F.col("a").alias("y"), "b", "shingle", F.col("label").alias("other"))
+    found = probes.join(others, ["b", "shingle"]).where("label != other")
+    return found.select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
+
+
 def _mixed(named: DataFrame) -> DataFrame:
     """The members of buckets that hold several components."""
     several = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")

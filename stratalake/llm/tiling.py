@@ -63,7 +63,7 @@ def seeded_words(docs: DataFrame, bitmap: bytes, key: str, text: str, min_match:
 
     def run(batches):
         bits = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
+        for batch in (part for whole in batches for part in wordhash.slices(whole, 1)):
             words, before = _words(batch.column(1))
             seeds, at = wordhash.windows(words, before, min_match)
             hit = bitmaps.contains(bits, seeds)

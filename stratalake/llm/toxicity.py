@@ -33,9 +33,10 @@ from stratalake.session import scratch
 #: Labelled rows that train the model, and lexicon entries, at most.
 SAMPLE = 10_000
 LEXICON = 4_000
-#: A term enters the lexicon with so many toxic texts, so much likelier there than elsewhere.
-SUPPORT = 3
+#: A term enters the lexicon if it is so much likelier in toxic texts, and not by chance: its likelihood-ratio
+#: statistic against equal rates must reach this (about one in a million for a term without a bias).
 RATIO = 8.0
+EVIDENCE = 24.0
 FOLDS = 3
 #: Beginnings of words, in bytes.
 BEGINNINGS = (4, 5, 6)
@@ -216,8 +217,12 @@ def _lexicon(table: np.ndarray, terms: np.ndarray, toxic: np.ndarray, other: np.
     use = [f for f in range(FOLDS) if f != left_out]
     n1, n0 = table[:, [2 * f + 1 for f in use]].sum(1), table[:, [2 * f for f in use]].sum(1)
     likelier = np.log((n1 + 0.5) / (toxic[use].sum() + 1)) - np.log((n0 + 0.5) / (other[use].sum() + 1))
-    good = np.flatnonzero((n1 >= SUPPORT) & (likelier >= np.log(RATIO)))
-    best = good[np.lexsort((terms[good], -n1[good] * likelier[good]))[:LEXICON]]
+    share = toxic[use].sum() / max(1.0, toxic[use].sum() + other[use].sum())
+    both = np.maximum(n1 + n0, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        evidence = 2 * sum(np.where(n > 0, n * np.log(n / (both * p)), 0) for n, p in ((n1, share), (n0, 1 - share)))
+    good = np.flatnonzero((evidence >= EVIDENCE) & (likelier >= np.log(RATIO)))
+    best = good[np.lexsort((terms[good], -evidence[good]))[:LEXICON]]
     best = best[np.argsort(terms[best])]
     return Lexicon(terms[best], likelier[best])
 
@@ -246,13 +251,16 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column, key: str = "doc_id",
         (toxic if row["toxic"] else other)[row["fold"]] += row["count"]
     total = toxic.sum() + other.sum()
     share = float(toxic.sum() / total) if total else 0.0
-    # the numbers of toxic texts select at most SUPPORT-th parts of the terms of a bounded sample
     per = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(2 * FOLDS)]
     counts = _terms(sample).groupBy("term").agg(*per)
     n1 = sum((F.col(f"k{2 * f + 1}") for f in range(FOLDS)), F.lit(0))
     n0 = sum((F.col(f"k{2 * f}") for f in range(FOLDS)), F.lit(0))
-    fair = (n1 + 0.5) * (float(other.sum()) + 1) >= RATIO / 2 * (n0 + 0.5) * (float(toxic.sum()) + 1)
-    found = counts.where((n1 >= SUPPORT) & fair).orderBy((-n1 / (n0 + 1)), "term").limit(4 * LEXICON).toPandas()
+    # enough in one pair of folds implies something close to it in all three
+    likelier = (n1 + 0.5) * (float(other.sum()) + 1) >= RATIO / 2 * (n0 + 0.5) * (float(toxic.sum()) + 1)
+    expected = (n1 + n0) * share
+    evidence = 2 * n1 * F.log(n1 / expected) if share else F.lit(0.0)
+    found = counts.where((n1 > 0) & likelier & (evidence >= EVIDENCE / 2))
+    found = found.orderBy(evidence.desc(), "term").limit(4 * LEXICON).toPandas()
     terms = found["term"].to_numpy().astype(np.int64).view(np.uint64)
     table = found[[f"k{k}" for k in range(2 * FOLDS)]].to_numpy().astype(float).reshape(-1, 2 * FOLDS)
     lexicon = _lexicon(table, terms, toxic, other, None)
