@@ -34,9 +34,9 @@ from stratalake.session import scratch
 SAMPLE = 10_000
 LEXICON = 4_000
 #: A term enters the lexicon if it is so much likelier in toxic texts, and not by chance: its likelihood-ratio
-#: statistic against equal rates must reach this (about one in a million for a term without a bias).
+#: statistic against equal rates must reach this (about one in ten thousand for a term without a bias).
 RATIO = 8.0
-EVIDENCE = 24.0
+EVIDENCE = 15.0
 FOLDS = 3
 #: Beginnings of words, in bytes.
 BEGINNINGS = (4, 5, 6)
