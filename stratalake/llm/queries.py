@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, fuzzylines, minhash, tiling, toxicity
+from stratalake.llm import bpe, fuzzylines, linefreq, minhash, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base numbers and verdict of every document; its source is its host."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return linefreq.judge(docs).drop("source")
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the bytes decoded from them, for every document."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -52,6 +58,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_frequency": line_frequency,
     "op2_byte_bpe": byte_bpe,
     "op4_fuzzy_lines": fuzzy_lines,
     "op5_hyperminhash": near_duplicates,
@@ -59,4 +66,6 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_frequency": linefreq.ORACLE,
+}
