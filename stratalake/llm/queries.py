@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, fuzzylines, linefreq, minhash, tiling, toxicity
+from stratalake.llm import bpe, fuzzylines, linefreq, minhash, pii, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,18 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, digest and list of the spans of personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [k.name for k in pii.KINDS if k.base]
+    return found.select(
+        "doc_id",
+        *[pii.counted(F.col("spans"), k).alias(f"n_{k}") for k in base],
+        F.sha2(pii.listed(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best covered benchmark item and verdict for every document."""
     return tiling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -63,9 +75,11 @@ QUERIES: dict[str, Query] = {
     "op4_fuzzy_lines": fuzzy_lines,
     "op5_hyperminhash": near_duplicates,
     "op6_toxicity": toxic_scores,
+    "op8_personal_data": personal_data,
     "op9_decontamination": decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_frequency": linefreq.ORACLE,
+    "op8_personal_data": pii.oracle(),
 }
