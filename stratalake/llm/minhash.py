@@ -10,10 +10,10 @@ Five registers make a band key. Nodes with a common band key are candidates, set
 1. Every node meets the least node of each of its buckets. Register matches, corrected for chance collisions, give
    an estimate; pairs whose estimate is beyond five standard errors below the threshold are dropped, the rest are
    confirmed on full sets, and links are merged into components.
-2. Buckets that still hold several components are settled exactly. A node of whose windows more than the threshold
-   allows occur in no other such node can have no link. The others meet the smallest set of each bucket; two nodes
-   of different components can only be linked if they share windows that this smallest set lacks (the reason is
-   with :func:`_crossed`), and a join on the rarest of those windows finds them.
+2. Buckets that still hold several components are settled on the windows of their nodes. A node of whose windows
+   more than the threshold allows occur in no other such node can have no link. Of the others, two nodes of
+   different components are paired if they share rare windows and enough of them, or if frequent windows alone
+   could link them (:func:`_rare_pairs`, :func:`_covered_pairs`); every possible link is one or the other.
 
 So a bucket of copies costs rows in proportion to its members, and no link between candidates is lost: pairs that
 are never compared already share a component. Band recall at similarity 0.8 is 1 - (1 - 0.8**5)**32 = 0.999997.
@@ -46,6 +46,9 @@ PERCENT = 80
 #: Estimates this far below the threshold rule a link out: five standard errors of 160 registers at 0.8.
 MARGIN = 0.16
 
+#: Windows with so many open nodes count as frequent in the second round; any number gives the same links.
+FREQUENT = 64
+
 _BORROW = np.random.default_rng(7).integers(0, REGISTERS, (64, REGISTERS))
 _BAND_KEYS = np.random.default_rng(8).integers(1, 1 << 63, (BANDS, BAND), dtype=np.uint64) | np.uint64(1)
 
@@ -292,13 +295,9 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
         .select("node", size.alias("n"))
     )
     again = stored(_mixed(mixed.join(live, "node")), "again")
-    small = again.groupBy("bucket").agg(F.min(F.struct("n", "node")).alias("small"))
-    met = again.join(small, "bucket").where("node != small.node")
-    met = met.select(F.col("node").alias("a"), F.col("small.node").alias("b")).distinct()
-    against = stored(_against(met, open_sets), "against")
-    links = links.unionByName(against.where("linked").select("a", "b"))
-    labels = components(links)
-    crossed = stored(_crossed(against, labels), "crossed")
+    members = again.select("node", "label", "n").distinct()
+    ranked = stored(_ranked(members.join(open_sets, "node")), "ranked")
+    crossed = stored(_rare_pairs(ranked).unionByName(_covered_pairs(again, ranked)).distinct(), "crossed")
     labels = components(links.unionByName(_confirmed(_estimated(crossed, nodes), open_sets)))
 
     owned = rows.drop("regs").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -312,61 +311,56 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     )
 
 
-def _against(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their sizes ``na``, ``nb``, their ``common`` windows, whether ``linked``, and a's ``extra`` ones."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+def _ranked(sets: DataFrame) -> DataFrame:
+    """Per node (node, label, n, shingles): ``covered``, its number of frequent windows, and its rare ones, ``ranked``.
 
-    def run(batches):
-        for batch in batches:
-            extra, sizes = [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x = x.values.to_numpy(zero_copy_only=False)
-                y = y.values.to_numpy(zero_copy_only=False)
-                extra.append(np.setdiff1d(x, y, assume_unique=True))
-                sizes.append((len(x), len(y)))
-            na, nb = np.array(sizes, np.int64).reshape(-1, 2).T
-            common = na - np.array([len(e) for e in extra], np.int64)
-            linked = 100 * common >= PERCENT * (na + nb - common)
-            columns = [batch.column(0), batch.column(1), *(pa.array(x) for x in (na, nb, common, linked))]
-            columns.append(pa.array(extra, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "na", "nb", "common", "linked", "extra"])
-
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    schema = "a binary, b binary, na long, nb long, common long, linked boolean, extra array<long>"
-    return both.mapInArrow(run, schema)
+    A window is frequent with ``FREQUENT`` nodes or more. Rare windows count only if nodes of different components
+    have them; they come as (members, shingle), rarest first.
+    """
+    rows = sets.select("node", "label", "n", F.explode("shingles").alias("shingle"))
+    mark = F.xxhash64("label")
+    known = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("members"), F.min(mark).alias("low"), F.max(mark).alias("high")
+    )
+    known = known.where((F.col("members") >= FREQUENT) | (F.col("low") < F.col("high"))).select("shingle", "members")
+    rare = F.when(F.col("members") < FREQUENT, F.struct("members", "shingle"))
+    return (
+        rows.join(known, "shingle")
+        .groupBy("node", "label", "n")
+        .agg(F.count_if(F.col("members") >= FREQUENT).alias("covered"), F.sort_array(F.collect_list(rare)).alias("ranked"))
+    )
 
 
-def _crossed(against: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that met the same smallest node h, without being in one component, and may be linked.
+def _rare_pairs(ranked: DataFrame) -> DataFrame:
+    """Pairs of different components that share a rare window, as far as they can be linked.
 
-    Let x and y be linked and x not linked to h, which is no larger than y. What x and y have in common is at most
-    what x and h have in common, too little even with h, and windows that h lacks. So x and y share windows beyond
-    those of h, at least the number ``need`` that x misses. Only windows shared by different components count, and
-    of ``k`` such windows of x one of the ``k - need + 1`` rarest must be among the shared ones.
+    Linked sets x and y, x no larger, have at least 2 PERCENT / (100 + PERCENT) of x in common. What of it x's frequent
+    windows cannot give, ``need``, must be shared rare windows; of ``k`` rare windows of x one of the
+    ``k - need + 1`` rarest is then among them. A rare window has fewer than ``FREQUENT`` nodes, so rows grow in
+    proportion to windows.
     """
-    known = against.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("label", F.coalesce("label", "a"))
-    total = 100 + PERCENT
-    # least |x and y| over sizes of y from max(nb, PERCENT * na / 100) on
-    least = F.ceil(PERCENT * (F.col("na") + F.greatest("nb", F.ceil(F.col("na") * PERCENT / 100))) / total)
-    need = F.greatest(F.lit(1), least - F.col("common")).alias("need")
-    rows = known.select("a", "b", "label", "linked", need, F.explode("extra").alias("shingle"))
-    common = rows.groupBy("b", "shingle").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
-    )
-    common = common.where("low < high").select("b", "shingle", "members")
-    rows = rows.join(common, ["b", "shingle"])
-    probes = (
-        rows.where("NOT linked")
-        .groupBy("a", "b", "label", "need")
-        .agg(F.sort_array(F.collect_list(F.struct("members", "shingle"))).alias("ranked"))
-        .where(F.size("ranked") >= F.col("need"))
-        .select("a", "b", "label", F.explode(F.expr("slice(ranked, 1, size(ranked) - cast(need as int) + 1)")).alias("r"))
-        .select("a", "b", "label", F.col("r.shingle").alias("shingle"))
-    )
-    others = rows.select(F.col("a").alias("y"), "b", "shingle", F.col("label").alias("other"))
-    found = probes.join(others, ["b", "shingle"]).where("label != other")
-    return found.select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
+    least = F.ceil(2 * PERCENT * F.col("n") / (100 + PERCENT))
+    need = F.greatest(F.lit(1), least - F.col("covered")).cast("int")
+    probes = ranked.withColumn("need", need).where("size(ranked) >= need")
+    probes = probes.select("node", "label", "n", F.explode(F.expr("slice(ranked, 1, size(ranked) - need + 1)")).alias("r"))
+    probes = probes.select("node", "label", "n", F.col("r.shingle").alias("shingle"))
+    others = ranked.select(
+        F.col("node").alias("y"), F.col("label").alias("other"), F.col("n").alias("ny"), F.explode("ranked").alias("r")
+    ).select("y", "other", "ny", F.col("r.shingle").alias("shingle"))
+    fits = (F.col("label") != F.col("other")) & (F.col("ny") >= F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("ny"))
+    met = probes.join(others, "shingle").where(fits)
+    return met.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b"))
+
+
+def _covered_pairs(members: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Pairs of a bucket, of different components, that frequent windows alone could link."""
+    known = members.join(ranked.select("node", "covered"), "node")
+    a, b = known.alias("a"), known.alias("b")
+    enough = (100 + PERCENT) * F.least("a.covered", "b.covered") >= PERCENT * (F.col("a.n") + F.col("b.n"))
+    met = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.label") < F.col("b.label")) & enough)
+    return met.select(
+        F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
+    )
 
 
 def _mixed(named: DataFrame) -> DataFrame:
