@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, fuzzylines, linefreq, minhash, pii, tiling, toxicity
+from stratalake.llm import bpe, fuzzylines, linefreq, minhash, pii, tiling, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN, outputs).drop("text")
 
 
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit among the captures of all pages with the response it stands for."""
+    made = warc.resolve_revisits(warc.page_records(table(spark, sf_dir, "pages")))
+    return made.withColumn("headers", warc.header_lines(F.col("headers")))
+
+
 def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +78,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_frequency": line_frequency,
     "op2_byte_bpe": byte_bpe,
+    "op3_warc_revisits": warc_revisits,
     "op4_fuzzy_lines": fuzzy_lines,
     "op5_hyperminhash": near_duplicates,
     "op6_toxicity": toxic_scores,
@@ -81,5 +88,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_line_frequency": linefreq.ORACLE,
+    "op3_warc_revisits": warc.ORACLE,
     "op8_personal_data": pii.oracle(),
 }
