@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, fuzzylines, linefreq, minhash, pii, tiling, toxicity, warc
+from stratalake.llm import bpe, fuzzylines, linefreq, minhash, pii, secrets, tiling, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,19 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, digest and list of the secrets in every document."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, ranks, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id",
+        *[secrets.counted(F.col("spans"), k).alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(secrets.listed(F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers, digest and list of the spans of personal data in every document."""
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -82,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op4_fuzzy_lines": fuzzy_lines,
     "op5_hyperminhash": near_duplicates,
     "op6_toxicity": toxic_scores,
+    "op7_token_efficiency": secret_scan,
     "op8_personal_data": personal_data,
     "op9_decontamination": decontamination,
 }
