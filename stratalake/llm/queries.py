@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, fuzzylines, linefreq, minhash, pii, secrets, tiling, toxicity, warc
+from stratalake.llm import blocks, bpe, fuzzylines, linefreq, minhash, pii, secrets, tiling, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,12 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a labeller trained on a bounded sample of the pages."""
+    pages = table(spark, sf_dir, "pages")
+    return blocks.extract(pages, blocks.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_frequency": line_frequency,
     "op2_byte_bpe": byte_bpe,
@@ -98,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_efficiency": secret_scan,
     "op8_personal_data": personal_data,
     "op9_decontamination": decontamination,
+    "op10_block_labeller": main_text,
 }
 
 ORACLES: dict[str, str] = {
