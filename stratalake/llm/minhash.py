@@ -13,7 +13,8 @@ Five registers make a band key. Nodes with a common band key are candidates, set
 2. Buckets that still hold several components are settled on the windows of their nodes. A node of whose windows
    more than the threshold allows occur in no other such node can have no link. Of the others, two nodes of
    different components are paired if they share rare windows and enough of them, or if frequent windows alone
-   could link them (:func:`_rare_pairs`, :func:`_covered_pairs`); every possible link is one or the other.
+   could link them (:func:`_rare_pairs`, :func:`_covered_pairs`); every possible link is one or the other. Before
+   that, nodes meet the best covered node of their bucket, which merges most of a large group of near copies.
 
 So a bucket of copies costs rows in proportion to its members, and no link between candidates is lost: pairs that
 are never compared already share a component. Band recall at similarity 0.8 is 1 - (1 - 0.8**5)**32 = 0.999997.
@@ -297,7 +298,16 @@ def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     again = stored(_mixed(mixed.join(live, "node")), "again")
     members = again.select("node", "label", "n").distinct()
     ranked = stored(_ranked(members.join(open_sets, "node")), "ranked")
-    crossed = stored(_rare_pairs(ranked).unionByName(_covered_pairs(again, ranked)).distinct(), "crossed")
+    central = stored(_central_pairs(again, ranked), "central")
+    links = links.unionByName(stored(_confirmed(_estimated(central, nodes), open_sets), "central_links"))
+    labels = components(links)
+
+    def renamed(df: DataFrame) -> DataFrame:
+        new = df.drop("label").join(labels, "node", "left")
+        return new.withColumn("label", F.coalesce("label", "node"))
+
+    ranked = stored(renamed(ranked), "named")
+    crossed = stored(_rare_pairs(ranked).unionByName(_covered_pairs(renamed(again), ranked)).distinct(), "crossed")
     labels = components(links.unionByName(_confirmed(_estimated(crossed, nodes), open_sets)))
 
     owned = rows.drop("regs").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -352,6 +362,19 @@ def _rare_pairs(ranked: DataFrame) -> DataFrame:
     return met.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b"))
 
 
+def _central_pairs(members: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Every node with the node of its bucket that frequent windows cover best, if they alone could link the two.
+
+    Copies with few changes of their own meet this way and become one component before pairs are looked for.
+    """
+    known = members.join(ranked.select("node", "covered"), "node")
+    best = known.groupBy("bucket").agg(F.max(F.struct("covered", "node", "label", "n")).alias("best"))
+    low = F.least("covered", "best.covered")
+    enough = (100 + PERCENT) * low >= PERCENT * (F.col("n") + F.col("best.n"))
+    met = known.join(best, "bucket").where((F.col("label") != F.col("best.label")) & enough)
+    return met.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
+
+
 def _covered_pairs(members: DataFrame, ranked: DataFrame) -> DataFrame:
     """Pairs of a bucket, of different components, that frequent windows alone could link."""
     known = members.join(ranked.select("node", "covered"), "node")
