@@ -41,7 +41,7 @@ BAND = 5
 BANDS = REGISTERS // BAND
 MANTISSA = 10
 
-#: Pairs are confirmed by 100 * common >= PERCENT * together.
+#: Pairs are confirmed by 100 * common >= PERCENT * together, where together is both sizes less what is common.
 PERCENT = 80
 
 #: Estimates this far below the threshold rule a link out: five standard errors of 160 registers at 0.8.
@@ -232,19 +232,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that reach the threshold on their full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x = x.values.to_numpy(zero_copy_only=False)
-                y = y.values.to_numpy(zero_copy_only=False)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(run, "a binary, b binary")
+    both = pairs.join(left, "a").join(right, "b")
+    both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    return both.where((100 + PERCENT) * F.col("common") >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:

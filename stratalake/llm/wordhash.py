@@ -148,7 +148,7 @@ def sequence_hash(hashes: np.ndarray) -> int:
     return int(out[0])
 
 
-def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, text: int, limit: int = 2 << 20):
     """Consecutive parts of a batch with at most ``limit`` bytes of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes) // limit
