@@ -10,8 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from stratalake.session import scratch
+
 
 def _require(df: DataFrame, *names: str) -> None:
     missing = [name for name in names if name not in df.columns]
@@ -22,15 +25,23 @@ def _require(df: DataFrame, *names: str) -> None:
 def flag_current(df: DataFrame, key: str, version: str, order: str) -> DataFrame:
     """``is_current`` on the greatest version of each key; of equal versions the first arrival.
 
-    ``order`` is the unique numeric arrival position. The flag joins back on key *and*
-    position, so the rows of a hot key spread over all partitions.
+    ``order`` is the unique numeric arrival position; a key with a null position, or with its
+    current one twice, fails the job. The flag joins back on key *and* position, so the rows of a
+    hot key spread over all partitions.
     """
     _require(df, key, version, order)
-    best = F.max(F.struct(F.col(version).alias("v"), (-F.col(order)).alias("p")))
+    # Equal positions of a key are counted before the shuffle, per position.
+    spots = df.groupBy(key, order).agg(F.max(version).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    best = F.max(F.struct(F.col("_v").alias("v"), (-F.col(order)).alias("p"), F.col("_n").alias("n")))
+    nulls = F.count_if(F.col(order).isNull())
+    fails = F.raise_error(F.concat(F.lit("arrival position is null or repeated for "), F.col(key).cast("string")))
     winners = (
-        df.groupBy(key)
-        .agg(best.alias("w"))
-        .select(F.col(key).alias("_key"), (-F.col("w.p")).alias("_pos"), F.lit(True).alias("_won"))
+        spots.groupBy(key)
+        .agg(best.alias("w"), nulls.alias("nulls"))
+        .select(
+            F.col(key).alias("_key"), (-F.col("w.p")).alias("_pos"),
+            F.when((F.col("w.n") > 1) | (F.col("nulls") > 0), fails.cast("boolean")).otherwise(F.lit(True)).alias("_won"),
+        )
     )
     hit = F.col(key).eqNullSafe(F.col("_key")) & (F.col(order) == F.col("_pos"))
     return df.join(winners, hit, "left").select(
@@ -73,29 +84,21 @@ def upsert(old: DataFrame, new: DataFrame, key: str, order: str = "_batch") -> D
     return last_wins(both, key, order).drop(order)
 
 
-def number_rows(df: DataFrame, order: str, name: str, start: int = 1, block: int = 100_000) -> DataFrame:
-    """Gapless running number by a unique integer ``order`` without one task seeing all rows.
+def number_rows(df: DataFrame, order: str, name: str, start: int = 1) -> DataFrame:
+    """Gapless running number by a unique ``order`` without one task seeing all rows.
 
-    Rows are numbered inside equal ranges of the order value, cut to hold about ``block``
-    rows each; only the range counts, a ``block``-th of the rows, meet in one window. The
-    input is read three times, so store a costly one first.
+    Rows are dealt out by ranges of the order that Spark cuts from a sample, so outliers do not
+    unbalance them, and stored. They are numbered inside their range; only one count per range
+    meets in a window. A null, of which a unique order holds one at most, comes first.
     """
-    value = F.col(order)
-    # One row: where the values start and how wide a range is.
-    width = F.greatest(
-        F.lit(1.0), (F.max(value).cast("double") - F.min(value) + 1) * block / F.count(value)
-    )
-    span = df.agg(F.min(value).alias("_low"), width.alias("_width"))
-    blocked = df.join(F.broadcast(span)).withColumn(
-        # A null never joins; the one null a unique order may hold counts before all others.
-        "_block", F.coalesce(F.floor((value.cast("double") - F.col("_low")) / F.col("_width")), F.lit(-1))
-    )
-    counts = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_block", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
-    )
-    inside = F.row_number().over(Window.partitionBy("_block").orderBy(order))
-    return blocked.join(offsets, "_block").select(
+    spark = df.sparkSession
+    path = scratch(spark, "numbered")
+    df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])).parquet(path)
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    return dealt.join(offsets, "_range").select(
         *df.columns, (F.lit(start - 1) + F.col("_before") + inside).alias(name)
     )

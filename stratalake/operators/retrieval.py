@@ -137,8 +137,9 @@ def text_scorer(dimensions: int = DIMENSIONS) -> Prepare:
 def _best(scores: np.ndarray, ties: Sequence[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query, chunk) positions of each query's top k: score descending, then the tie columns.
 
-    Scores that are not positive never qualify.
+    Scores that are not positive, or no numbers, never qualify.
     """
+    scores = np.where(np.isnan(scores), -np.inf, scores)
     count = scores.shape[1]
     floor = np.zeros(scores.shape[0])
     if count > k:
@@ -329,12 +330,23 @@ def embed_with(df: DataFrame, embed: Callable[[list[str]], list[list[float]]], t
 
 
 def attach_vectors(chunks: DataFrame, vectors: DataFrame, key: str = "id") -> DataFrame:
-    """Chunks with the vector of the same id; a chunk without a vector fails the job."""
-    joined = chunks.join(vectors.select(key, "vector"), key, "left")
-    checked = F.coalesce(
-        F.col("vector"),
-        F.raise_error(F.concat(F.lit("no vector for "), F.col(key).cast("string"))).cast(
-            vectors.schema["vector"].dataType
-        ),
+    """Chunks with the vector of the same id, one to one.
+
+    A chunk without a vector, a vector without a chunk and an id that repeats on either side fail the job.
+    """
+    kind = vectors.schema["vector"].dataType
+    one = F.count(F.lit(1)).alias("_vectors")
+    mine = vectors.groupBy(F.col(key).alias("_id")).agg(one, F.first("vector").alias("vector"))
+    repeated = chunks.groupBy(F.col(key).alias("_twice")).agg(F.count(F.lit(1)).alias("_chunks")).where("_chunks > 1")
+    known = chunks.drop("vector").withColumn("_chunk", F.lit(True))
+    joined = known.join(mine, known[key] == mine["_id"], "full").join(repeated, F.col("_id") == F.col("_twice"), "left")
+    what = (
+        F.when(F.col("_chunk").isNull(), "no chunk for vector ")
+        .when(F.col("_chunks") > 1, "more than one chunk with id ")
+        .when(F.col("_vectors") > 1, "more than one vector for ")
+        .when(F.col("vector").isNull(), "no vector for ")
+    )
+    fails = F.raise_error(F.concat(what, F.coalesce(F.col(key), F.col("_id")).cast("string"))).cast(kind)
+    return joined.withColumn("vector", F.when(what.isNotNull(), fails).otherwise(F.col("vector"))).select(
+        *[c for c in chunks.columns if c != "vector"], "vector"
     )
-    return joined.withColumn("vector", checked)

@@ -334,20 +334,17 @@ ORACLES: dict[str, str] = {
                CAST(sum(CAST(l_extendedprice AS DECIMAL(12, 2))) AS DOUBLE) AS price, sum(l_quantity) AS quantity,
                max(l_orderkey) AS last_order, CAST(sum(l_linenumber) AS BIGINT) AS lines
         FROM lineitem GROUP BY l_returnflag, year""",
-    "publish_text": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier",
-    "publish_summary": """
+    "publish_text": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier",
+    "publish_summary": f"""
         WITH c AS (
-          SELECT 'customer' AS table_name, count(*) AS rows, ['bronze', 'silver'] AS l FROM customer
-          UNION ALL SELECT 'orders', count(*), ['bronze', 'silver'] FROM orders
-          UNION ALL SELECT 'supplier', count(*), ['bronze', 'silver'] FROM supplier
+          SELECT table_name, rows, ['bronze', 'silver'] AS l FROM ({_counts(_COUNTED)})
           UNION ALL SELECT 'customer_BUILDING', count(*), ['silver', 'gold'] FROM customer WHERE c_mktsegment = 'BUILDING'
         ), p AS (SELECT unnest(l) AS layer, table_name, rows FROM c)
         SELECT * FROM p UNION ALL SELECT 'all', 'total', CAST(sum(rows) AS BIGINT) FROM p""",
     "layer_counts": _counts(_COUNTED),
-    "table_exports": _counts(["region", "nation", "supplier", "part"]),
-    "catalog_tables": """
-        SELECT 'customer_pqt' AS table_name, count(*) AS rows FROM customer
-        UNION ALL SELECT 'orders_pqt', count(*) FROM orders UNION ALL SELECT 'supplier_pqt', count(*) FROM supplier
+    "table_exports": _counts(_COUNTED),
+    "catalog_tables": f"""
+        SELECT table_name || '_pqt' AS table_name, rows FROM ({_counts(_COUNTED)})
         UNION ALL SELECT 'customer_BUILDING_csv', count(*) FROM customer WHERE c_mktsegment = 'BUILDING'""",
     "lake_inventory": f"SELECT *, true AS exists FROM ({_counts(_COUNTED)}) UNION ALL SELECT 'gold/missing', 0, false",
     "entity_layers": """
@@ -447,7 +444,7 @@ ORACLES: dict[str, str] = {
         ) GROUP BY event_type, missing""",
     "llm_json_extract": """
         SELECT item_id, shape, CASE WHEN shape <> 'broken' THEN trim(text) END AS claim,
-               CASE WHEN shape <> 'broken' THEN 'a' || chr(10) || trim(left(text, 20)) END AS evidence
+               CASE WHEN shape <> 'broken' THEN 'a' || chr(10) || trim(string_split(text, chr(10))[1]) END AS evidence
         FROM (SELECT *, unnest(['fenced', 'prose', 'bare', 'broken']) AS shape FROM benchmark)""",
     "route_extract": """
         SELECT conv_id, turn, tool, CASE WHEN tool IS NOT NULL THEN trim(text, ' ' || chr(10)) END AS query,
@@ -474,6 +471,17 @@ ORACLES: dict[str, str] = {
         SELECT 'd' || doc_id || '-p1-' || serial AS id, 'd' || doc_id AS source_id, source || '.txt' AS source_path,
                left(trim(string_split(body, chr(10))[1]), 120) AS title, 1 AS page, text, CAST(serial AS INTEGER) AS serial
         FROM numbered""",
+    "whole_text_chunks": """
+        WITH book AS (SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id),
+        body AS (
+          SELECT conv_id, trim(array_to_string(list_transform(string_split(text, chr(10)), lambda x: rtrim(x)), chr(10)), ' ' || chr(10)) AS body FROM book
+        ), piece AS (
+          SELECT *, unnest(CASE WHEN length(body) <= 1200 THEN [0] ELSE range(0, length(body), 1020) END) AS start FROM body
+        ), cut AS (
+          SELECT *, substring(body, start + 1, 1200) AS text FROM piece WHERE length(body) >= 80
+        )
+        SELECT conv_id, '1-' || row_number() OVER (PARTITION BY conv_id ORDER BY start) AS place, md5(text) AS text_md5, 32 AS dimensions
+        FROM cut WHERE length(text) >= 80""",
     "page_split": f"""WITH {_PAGED_BODY},
         kept AS (SELECT * FROM bodies WHERE body <> ''),
         blank AS (SELECT doc_id, 1 AS page, '' AS body FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM kept))
@@ -519,6 +527,17 @@ ORACLES: dict[str, str] = {
                  row_number() OVER (PARTITION BY query_id ORDER BY round(d / (ql.len * xl.len), 12) DESC, vec_id) AS rank
           FROM d JOIN ql USING (query_id) JOIN xl USING (vec_id)
         ) WHERE rank <= 4 AND score > 0""",
+    "vector_topk_gaps": """
+        WITH x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+        q AS (SELECT label AS query_id, pos, avg(v) AS v FROM x GROUP BY label, pos),
+        ql AS (SELECT query_id, sqrt(sum(v * v)) AS len FROM q GROUP BY query_id),
+        xl AS (SELECT vec_id, sqrt(sum(v * v)) AS len FROM x GROUP BY vec_id),
+        d AS (SELECT query_id, vec_id, sum(q.v * x.v) AS d FROM q JOIN x USING (pos) GROUP BY query_id, vec_id)
+        SELECT query_id, CAST(vec_id AS VARCHAR) AS id, CAST(rank AS INTEGER) AS rank, round(round(score, 12), 9) AS score FROM (
+          SELECT query_id, vec_id, d / (ql.len * xl.len) AS score,
+                 row_number() OVER (PARTITION BY query_id ORDER BY round(d / (ql.len * xl.len), 12) DESC, vec_id) AS rank
+          FROM d JOIN ql USING (query_id) JOIN xl USING (vec_id) JOIN embeddings e USING (vec_id) WHERE e.label <> 3
+        ) WHERE rank <= 4 AND score > 0""",
     "text_vector_topk": f"WITH {_DOC_CHUNKS}, {_BENCH}, {_TEXT_VECTORS} SELECT {_COLS} FROM vec",
     "hybrid_topk": f"""WITH {_KEYWORD}, {_TEXT_VECTORS},
         pool AS (
@@ -530,8 +549,9 @@ ORACLES: dict[str, str] = {
                round(round(score, 12), 9) AS score FROM pool
         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) <= 4""",
     "vector_upsert": """
-        SELECT vec_id, label, round(CAST(CASE WHEN label = 3 THEN -embedding[1] ELSE embedding[1] END AS DOUBLE), 6) AS x FROM embeddings
-        UNION ALL SELECT -vec_id - 1, label, round(CAST(-embedding[1] AS DOUBLE), 6) FROM embeddings WHERE label = 3""",
+        WITH x AS (SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dimension, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+        SELECT vec_id, label, dimension, round(CASE WHEN label = 3 THEN -v ELSE v END, 6) AS x FROM x
+        UNION ALL SELECT -vec_id - 1, label, dimension, round(-v, 6) FROM x WHERE label = 3""",
     "retrieval_cards": f"""WITH {_FOUND},
         c AS (
           SELECT query_id, 'Pergunta: ' || any_value(query) || chr(10) || chr(10) || 'Segundo o livro:' || chr(10) ||
@@ -587,7 +607,8 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, role || '.v1' AS prompt_id, left(sha256(trim(text, ' ' || chr(10))), 12) AS prompt_sha,
                'expand>retrieve>ask' AS steps, CAST(length(string_split_regex(text, '\s+')) AS INTEGER) AS tokens_in
         FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
-    "stream_dedupe": "SELECT DISTINCT event_id, user_id, event_type, value FROM events",
+    "stream_dedupe": "SELECT DISTINCT * FROM events",
+    "stream_dedupe_watermark": "SELECT DISTINCT * FROM events",
     "stream_incremental": """
         SELECT 'u-' || user_id AS id, upper(event_type) AS kind, event_id AS _ord, strftime(ts, '%Y-%m-%d') AS load_date
         FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""",

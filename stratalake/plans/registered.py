@@ -322,13 +322,13 @@ def typed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def publish_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows a publish would send: every column as text, names checked."""
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    rows = table(spark, sf_dir, "supplier")
     jdbc.check_identifier("silver", "supplier", *rows.columns)
     return sinks.as_text_table(rows)
 
 
 def publish_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = ["customer", "orders", "supplier"]
+    base = list(TABLES)
     frames = {name: table(spark, sf_dir, name) for name in base}
     frames["customer_BUILDING"] = frames["customer"].where("c_mktsegment = 'BUILDING'")
     return jdbc.publish_summary(frames, base, ["customer_BUILDING"])
@@ -339,11 +339,10 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four tables exported side by side as CSV, with their counts."""
-    names = ["region", "nation", "supplier", "part"]
+    """All tables exported side by side as CSV, every column as text, with their counts."""
     root = scratch(spark, "export")
     counts = sinks.for_each_table(
-        spark, names, lambda n: sinks.write_csv(table(spark, sf_dir, n), f"{root}/{n}")
+        spark, TABLES, lambda n: sinks.write_csv(sinks.as_text_table(table(spark, sf_dir, n)), f"{root}/{n}")
     )
     return spark.createDataFrame(list(counts.items()), "table_name string, rows bigint")
 
@@ -351,8 +350,11 @@ def table_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv = scratch(spark, "catalog")
     sinks.write_csv(table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"), csv)
-    parquet = {name: f"{sf_dir}/{name}.parquet" for name in ("customer", "orders", "supplier")}
-    made = catalog.register_tables(spark, "customers_db", parquet, {"customer_BUILDING": csv})
+    parquet = {name: f"{sf_dir}/{name}.parquet" for name in TABLES}
+    # A database of its own, so that runs in one session do not disturb each other.
+    root = scratch(spark, "lake")
+    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    made = catalog.register_tables(spark, database, parquet, {"customer_BUILDING": csv}, root)
     return catalog.catalog_counts(spark, made)
 
 
@@ -521,7 +523,7 @@ def page_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    text = F.when(F.col("event_type") == "click", F.concat(F.lit('{"id": 1, "name": "x", '), F.substring("props", 2, 10_000))).otherwise(F.col("props"))
+    text = F.when(F.col("event_type") == "click", F.concat(F.lit('{"id": 1, "name": "x", '), F.expr("substr(props, 2)"))).otherwise(F.col("props"))
     missing = files.missing_fields(text, ["id", "name", "k"])
     return e.select("event_type", F.array_join(missing, ",").alias("missing")).groupBy(
         "event_type", "missing"
@@ -531,7 +533,7 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts dressed as model responses: fenced, with prose around, bare, broken."""
     b = table(spark, sf_dir, "benchmark")
-    body = F.to_json(F.struct(F.col("text").alias("Claim"), F.array(F.lit(" a "), F.lit(""), F.left("text", F.lit(20))).alias("Evidence")))
+    body = F.to_json(F.struct(F.col("text").alias("Claim"), F.array(F.lit(" a "), F.lit(""), F.substring_index("text", "\n", 1)).alias("Evidence")))
     shapes = F.array(
         F.struct(F.lit("fenced").alias("shape"), F.concat(F.lit("Here:\n```JSON\n"), body, F.lit("\n```\nbye")).alias("response")),
         F.struct(F.lit("prose").alias("shape"), F.concat(F.lit("The note is "), body, F.lit(" as asked.")).alias("response")),
@@ -614,17 +616,24 @@ def chunk_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def whole_text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations written as text files, read whole and chunked by the knowledge run."""
+    """Conversations written as one text file each, read whole and chunked by the knowledge run.
+
+    Files of several folders share their names; the folder keeps their ids apart.
+    """
     c = table(spark, sf_dir, "conversations")
     root = scratch(spark, "books")
-    line = F.concat(F.col("role"), F.lit(": "), F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
-    c.select(line.alias("value"), "role").write.option("maxRecordsPerFile", 500).partitionBy("role").text(f"{root}/texts")
+    turns = F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit(": "), "text").alias("line"))))
+    books = c.groupBy("conv_id").agg(F.array_join(turns["line"], "\n").alias("value"))
+    books.write.partitionBy("conv_id").text(f"{root}/texts")
     texts = files.read_whole_text(spark, f"{root}/texts")
     flows.run_knowledge(texts, f"{root}/chunks", f"{root}/vectors")
     made = spark.read.parquet(f"{root}/chunks")
     vectors = spark.read.parquet(f"{root}/vectors")
-    return retrieval.attach_vectors(made, vectors).agg(
-        F.count(F.lit(1)).alias("chunks"), F.count_distinct("id").alias("ids"), F.max(F.size("vector")).alias("dimensions")
+    return retrieval.attach_vectors(made, vectors).select(
+        F.regexp_extract("source_id", "^conv_id=([0-9]+)/", 1).cast("long").alias("conv_id"),
+        F.regexp_extract("id", "-p([0-9]+-[0-9]+)$", 1).alias("place"),
+        F.md5(F.col("text").cast("binary")).alias("text_md5"),
+        F.size("vector").alias("dimensions"),
     )
 
 
@@ -713,6 +722,14 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(retrieval.vector_top_k(means, chunks, ["vec_id"]))
 
 
+def vector_topk_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean vector of each label against all vectors, those of label 3 spoilt: they score no number and are no hits."""
+    e = table(spark, sf_dir, "embeddings")
+    spoilt = F.transform("embedding", lambda x: F.when(F.col("label") == 3, F.lit(float("nan"))).otherwise(x))
+    chunks = e.select("vec_id", F.col("vec_id").cast("string").alias("id"), spoilt.alias("vector"))
+    return _scored(retrieval.vector_top_k(label_means(e), chunks, ["vec_id"]))
+
+
 def text_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts against documents by hashed vectors."""
     chunks = document_chunks(spark, sf_dir)
@@ -725,11 +742,12 @@ def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of one label sent again with turned signs, and as many new ids."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.element_at("embedding", 1).alias("x"))
-    again = e.where("label = 3").withColumn("x", -F.col("x"))
+    """Vectors of one label sent again with turned signs, and as many new ids; one row per number."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    again = e.where("label = 3").withColumn("embedding", F.transform("embedding", lambda x: -x))
     fresh = again.unionByName(again.withColumn("vec_id", -F.col("vec_id") - 1))
-    return history.upsert(e, fresh, "vec_id").select("vec_id", "label", F.round(F.col("x").cast("double"), 6).alias("x"))
+    made = history.upsert(e, fresh, "vec_id").select("vec_id", "label", F.posexplode("embedding").alias("dimension", "x"))
+    return made.withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
 def found_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -898,21 +916,27 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event delivered twice; one row per event remains."""
-    sent = _event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
-    twice = sent.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(1)))).drop("copy")
+    """Every event delivered twice; one whole row per event remains."""
+    return _deduped(spark, sf_dir)
+
+
+def stream_dedupe_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with keys that are forgotten 40 days after their event, so that state is bounded."""
+    return _deduped(spark, sf_dir, "40 days")
+
+
+def _deduped(spark: SparkSession, sf_dir: str, delay: str | None = None) -> DataFrame:
+    # A session of its own, whose state store is set without touching the caller's.
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", incremental.ROCKSDB)
+    twice = _event_stream(own, sf_dir).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(1)))).drop("copy")
     root = scratch(spark, "stream-dedupe")
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", incremental.ROCKSDB)
-    try:
-        return incremental.run_to_table(
-            incremental.first_wins(twice, ["event_id"]), f"{root}/rows", f"{root}/checkpoint"
-        )
-    finally:
-        if old:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
-        else:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    schema = twice.schema
+    # A watermark needs an instant; the session's time zone does not change distances.
+    timed = twice.withColumn("_at", F.col("ts").cast("timestamp")) if delay else twice
+    once = incremental.first_wins(timed, ["event_id"], "_at" if delay else None, delay)
+    incremental.run_to_table(once.select(schema.names), f"{root}/rows", f"{root}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{root}/rows")
 
 
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -948,9 +972,9 @@ QUERIES: dict[str, Query] = {
         seed_payments, seed_reviews, page_cut, required_fields, llm_json_extract, route_extract,
         prompt_fingerprint, storage_uris, chunk_documents, chunk_pages, page_split,
         chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, vector_topk,
-        text_vector_topk, hybrid_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
+        vector_topk_gaps, text_vector_topk, hybrid_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
         notes, retrieval_eval, eval_pass_rate, prompt_context, followup_binding, last_turn,
         preference_profile, preference_profile_few, trace_summary, last_trace, stream_dedupe,
-        stream_incremental,
+        stream_dedupe_watermark, stream_incremental,
     )
 }

@@ -11,12 +11,20 @@ from stratalake.sources.jdbc import check_identifier
 
 
 def register_tables(
-    spark: SparkSession, database: str, parquet: Mapping[str, str], csv: Mapping[str, str] | None = None
+    spark: SparkSession,
+    database: str,
+    parquet: Mapping[str, str],
+    csv: Mapping[str, str] | None = None,
+    location: str | None = None,
 ) -> dict[str, str]:
-    """Replaces ``<name>_pqt`` and ``<name>_csv`` over the given paths; returns qualified names to paths."""
+    """Replaces ``<name>_pqt`` and ``<name>_csv`` over the given paths; returns qualified names to paths.
+
+    ``location`` is the folder of a new database; the warehouse of the session otherwise.
+    """
     csv = csv or {}
     check_identifier(database, *parquet, *csv)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = " LOCATION '" + location.replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     made: dict[str, str] = {}
     wanted = [(f"{n}_pqt", "parquet", p) for n, p in parquet.items()]
     wanted += [(f"{n}_csv", "csv", p) for n, p in csv.items()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,12 +95,23 @@ def read_partition(spark: SparkSession, base: str, load_date: str, fmt: str = "p
 
 
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: source_path, source_id (file name without extension) and its text.
+    """One row per file: source_path (below ``path``), source_id (the same without extension) and its text.
 
-    Bytes that are no UTF-8 become replacement characters; a missing path fails.
+    Files of one name in several folders stay apart. Bytes that are no UTF-8 become replacement
+    characters; a missing path fails.
     """
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
-    return spark.read.text(path, wholetext=True).select(
+    place = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?=/)", "", path)
+    place = re.sub(r"^/+", "/", place)
+    # Below the last folder before a pattern, or below the path itself.
+    fixed = re.split(r"[*?\[{]", place)[0]
+    root = fixed.rstrip("/") + "/" if fixed == place else fixed[: fixed.rfind("/") + 1]
+    full = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    at = F.locate(root, full)
+    below = F.expr("substr(_full, _at + length(_root))")
+    name = F.when(F.col("_at") > 0, below).otherwise(F.regexp_extract("_full", r"([^/]+)$", 1))
+    read = spark.read.text(path, wholetext=True)
+    placed = read.select("value", full.alias("_full"), at.alias("_at"), F.lit(root).alias("_root"))
+    return placed.select(
         name.alias("source_path"),
         F.regexp_replace(name, r"\.[^.]*$", "").alias("source_id"),
         F.col("value").alias("text"),
@@ -164,6 +176,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a finished folder in the place of another on the same file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(new, True)
+    if new.getParent() is not None:
+        system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its row count, as one plan."""
     parts = [

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.sources.sinks import as_text_table, counted, for_each_table
+from stratalake.sources.sinks import as_text_table, counted, for_each_table, stored
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 #: Lake zone and file format behind each published schema.
@@ -82,9 +82,10 @@ def publish_table(df: DataFrame, url: str, layer: str, table: str, refresh: str
     text to the target's lengths with ``typed_copy`` first.
     """
     options = publish_options(df.columns, url, layer, table, refresh, column_type)
-    if df.isEmpty():
+    # Stored, since the rows are asked for twice: whether there are any, and to send them.
+    rows = stored(as_text_table(df) if refresh == "replace" else df, "publish")
+    if rows.isEmpty():
         return 0
-    rows = as_text_table(df) if refresh == "replace" else df
     return counted(
         rows, lambda d: d.write.format("jdbc").mode("overwrite").options(**options, **properties).save()
     )["rows"]

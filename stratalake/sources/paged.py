@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from stratalake.session import scratch
+
 #: Answers worth another try.
 RETRY_STATUS = (429, 500, 502, 503, 504)
 
@@ -48,7 +50,9 @@ class PagedReader(DataSourceReader):
         # Option names arrive in lower case; parameter names are written "filter.<name>".
         self.url = options["url"]
         self.per_page = int(options.get("per_page", 50))
-        self.max_pages = int(options.get("max_pages", 3))
+        if "max_pages" not in options:
+            raise ValueError("max_pages must be given: pages beyond it are not read")
+        self.max_pages = int(options["max_pages"])
         self.timeout = float(options.get("timeout", 30))
         self.attempts = int(options.get("retry_attempts", 3))
         self.required = [f for f in options.get("required_fields", "").split(",") if f]
@@ -88,14 +92,19 @@ class PagedSource(DataSource):
 
 
 def read_pages(spark: SparkSession, url: str, per_page: int, max_pages: int, **options: object) -> DataFrame:
-    """All records up to the first short page. ``url`` may hold ``{page}``; ``None`` options are left out."""
+    """All records up to the first short page. ``url`` may hold ``{page}``; ``None`` options are left out.
+
+    The pull is stored first, so every page is fetched once and the cut judges the very rows it returns.
+    """
     spark.dataSource.register(PagedSource)
     reader = spark.read.format("paged_json").option("url", url)
     reader = reader.option("per_page", per_page).option("max_pages", max_pages)
     for key, value in options.items():
         if value is not None:
             reader = reader.option(key, str(value))
-    return cut_pages(reader.load(), per_page, max_pages)
+    path = scratch(spark, "pages")
+    reader.load().write.parquet(path)
+    return cut_pages(spark.read.schema("page int, position int, record string").parquet(path), per_page, max_pages)
 
 
 def cut_pages(df: DataFrame, per_page: int, max_pages: int | None = None, page: str = "page") -> DataFrame:

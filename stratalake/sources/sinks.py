@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,18 +14,13 @@ from pyspark.util import inheritable_thread_target
 from stratalake.functions.text import numbered_id
 from stratalake.operators.history import number_rows
 from stratalake.session import scratch
-from stratalake.sources.files import CLOUD_CSV, PLAIN_CSV
+from stratalake.sources.files import CLOUD_CSV, PLAIN_CSV, delete_path, move_path
 
 
 class EmptyWrite(ValueError):
     """Raised when a sink that needs rows gets none."""
 
 
-def _refuse_empty(df: DataFrame, path: str) -> None:
-    if df.isEmpty():
-        raise EmptyWrite(f"cannot write an empty table: {path}")
-
-
 def counted(df: DataFrame, write: Callable[[DataFrame], None], measures: Mapping[str, object] | None = None) -> dict[str, int]:
     """Runs a write and returns its row count and other measures, observed on the way."""
     seen = Observation()
@@ -33,12 +29,25 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None], measures: Mapping
     return {name: value or 0 for name, value in seen.get.items()}
 
 
+def _replace(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> int:
+    """Writes beside the target and puts the result in its place, in one pass over ``df``.
+
+    Without rows the target stays as it was and the write fails.
+    """
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    rows = counted(df, lambda d: write(d, staged))["rows"]
+    if not rows:
+        delete_path(df.sparkSession, staged)
+        raise EmptyWrite(f"cannot write an empty table: {path}")
+    move_path(df.sparkSession, staged, path)
+    return rows
+
+
 def write_csv(df: DataFrame, path: str, cloud: bool = False) -> int:
     """Overwrite as CSV with a header; an empty table is an error. Returns the rows written."""
-    _refuse_empty(df, path)
     options = {**(CLOUD_CSV if cloud else PLAIN_CSV), "quoteAll": str(cloud).lower()}
     options.pop("multiLine", None)
-    return counted(df, lambda d: d.write.mode("overwrite").options(**options).csv(path))["rows"]
+    return _replace(df, path, lambda d, to: d.write.options(**options).csv(to))
 
 
 def write_json(df: DataFrame, path: str) -> int:
@@ -51,7 +60,7 @@ def write_json(df: DataFrame, path: str) -> int:
 def write_parquet(df: DataFrame, path: str, allow_empty: bool = False) -> int:
     """Overwrite as snappy Parquet; an empty table is an error unless allowed."""
     if not allow_empty:
-        _refuse_empty(df, path)
+        return _replace(df, path, lambda d, to: d.write.option("compression", "snappy").parquet(to))
     return counted(
         df, lambda d: d.write.mode("overwrite").option("compression", "snappy").parquet(path)
     )["rows"]

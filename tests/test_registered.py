@@ -6,11 +6,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
-from stratalake.plans.registered import TABLES
+from stratalake.plans.oracles import ORACLES
+from stratalake.plans.registered import QUERIES, TABLES
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 #: No SQL counterpart: these depend on how files are laid out.
-LAYOUT_ONLY = {"lake_file_list", "lake_report", "whole_text_chunks"}
+LAYOUT_ONLY = {"lake_file_list", "lake_report"}
 
 
 @pytest.fixture(scope="module")
@@ -55,6 +55,11 @@ def test_layout_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+def test_entry_points_offer_them_all():
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["kpi_name", "kpi_value", "country", "grain"]
 
@@ -67,7 +72,7 @@ def plan_of(spark, sf_dir, name):
 WRITERS = {
     "layer_row_stats", "entity_layers", "partition_roundtrip", "filter_outputs", "csv_roundtrip", "csv_cloud_roundtrip",
     "json_roundtrip", "parquet_roundtrip", "typed_copy", "table_exports", "catalog_tables", "whole_text_chunks",
-    "stream_dedupe", "stream_incremental", "notes",
+    "stream_dedupe", "stream_dedupe_watermark", "stream_incremental", "notes",
 }
 
 

@@ -209,3 +209,14 @@ def test_hash_vectors_cache_limit(monkeypatch):
     full = hash_vectors(texts)
     monkeypatch.setattr(embedding, "CACHE_TOKENS", 2)
     assert (hash_vectors(texts) == full).all()
+
+
+def test_scores_that_are_no_numbers_lose_no_hits(spark):
+    nan = float("nan")
+    query = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vector array<double>")
+    good = [(i, str(i), [1.0, i / 10]) for i in range(4)]
+    for spoilt in (1, 4, 9):
+        rows = good + [(100 + i, "x", [nan, 1.0]) for i in range(spoilt)]
+        chunks = spark.createDataFrame(rows, "n long, id string, vector array<double>").coalesce(1)
+        hits = retrieval.vector_top_k(query, chunks, ["n"], k=4).orderBy("rank").collect()
+        assert [r.id for r in hits] == ["0", "1", "2", "3"]

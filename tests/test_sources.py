@@ -100,6 +100,60 @@ def test_whole_text(spark, tmp_path):
         files.read_whole_text(spark, str(tmp_path / "none.txt")).collect()
 
 
+def test_whole_text_ids_are_unique(spark, tmp_path):
+    from stratalake.operators import retrieval
+    from stratalake.plans import flows
+
+    for folder in ("a", "b c", "d+e"):
+        (tmp_path / "texts" / folder).mkdir(parents=True)
+        (tmp_path / "texts" / folder / "same.txt").write_text(f"The text of {folder}. " * 20)
+    for path in (str(tmp_path / "texts"), str(tmp_path / "texts" / "*"), f"file://{tmp_path}/texts"):
+        ids = sorted(r.source_id for r in files.read_whole_text(spark.newSession() if path.endswith("*") else spark, path + ("" if path.endswith("*") else "/*/*.txt")).collect())
+        assert ids == ["a/same", "b c/same", "d+e/same"]
+    flows.run_knowledge(files.read_whole_text(spark, str(tmp_path / "texts" / "*")), str(tmp_path / "chunks"), str(tmp_path / "vectors"))
+    chunks, vectors = (spark.read.parquet(str(tmp_path / n)) for n in ("chunks", "vectors"))
+    joined = retrieval.attach_vectors(chunks, vectors)
+    assert joined.count() == chunks.count() == 3 and joined.columns == [*chunks.columns, "vector"]
+    few = chunks.limit(2)
+    for bad in ((few, vectors), (chunks, vectors.limit(2)), (chunks.union(few), vectors), (chunks, vectors.union(vectors))):
+        with pytest.raises(Exception, match="no chunk|no vector|more than one"):
+            retrieval.attach_vectors(*bad).collect()
+
+
+def test_empty_writes_leave_the_target(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    for write, name in ((sinks.write_csv, "c"), (sinks.write_parquet, "p")):
+        path = str(tmp_path / "deep" / name)
+        assert write(df, path) == 2 and write(df.limit(1), path) == 1
+        with pytest.raises(sinks.EmptyWrite):
+            write(df.limit(0), path)
+        assert sorted(p.name for p in (tmp_path / "deep").iterdir() if p.name.startswith(name)) == [name]
+        assert spark.read.option("header", "true").format("csv" if name == "c" else "parquet").load(path).count() == 1
+
+
+def test_long_payloads_keep_their_keys(spark, tmp_path):
+    from stratalake.plans.registered import QUERIES
+
+    long = '{"k": 1, "pad": "' + "x" * 20_000 + '"}'
+    spark.createDataFrame([("click", long), ("view", long)], "event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_type: r.missing for r in QUERIES["required_fields"](spark, str(tmp_path)).collect()}
+    assert got == {"click": "", "view": "id,name"}
+
+
+def test_pages_are_fetched_once(spark, tmp_path, monkeypatch):
+    import json
+
+    for n in (1, 2, 3):
+        (tmp_path / f"{n}.json").write_text(json.dumps([{"id": i} for i in range(2 if n < 3 else 1)]))
+    got = paged.read_pages(spark, f"file://{tmp_path}/{{page}}.json", per_page=2, max_pages=4)
+    for n in (1, 2, 3):
+        (tmp_path / f"{n}.json").unlink()
+    # the files are gone, so whatever is read now was stored by the one pull
+    assert got.count() == 5 and got.agg(F.max("page")).first()[0] == 3
+    with pytest.raises(Exception, match="max_pages"):
+        spark.read.format("paged_json").option("url", "file:///none").load().collect()
+
+
 def test_required_fields(spark):
     files.require_fields(zips(spark), ["zip"])
     with pytest.raises(files.MissingFields, match="id, name"):
@@ -157,7 +211,7 @@ def test_paged_source_reads_page_files(spark, tmp_path):
 
 
 def test_page_url():
-    reader = paged.PagedReader({"url": "http://x/b", "per_page": "2", "filter.by_city": "rio"})
+    reader = paged.PagedReader({"url": "http://x/b", "per_page": "2", "max_pages": "3", "filter.by_city": "rio"})
     assert reader.page_url(3) == "http://x/b?by_city=rio&per_page=2&page=3"
     assert len(reader.partitions()) == 3
 

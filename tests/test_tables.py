@@ -113,10 +113,31 @@ def test_number_rows(spark):
     rng = random.Random(3)
     keys = rng.sample(range(-500, 5000), 700)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
-    got = {r.k: r.n for r in history.number_rows(df, "k", "n", start=5, block=64).collect()}
+    got = {r.k: r.n for r in history.number_rows(df, "k", "n", start=5).collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys), start=5)}
 
 
+def test_number_rows_with_an_outlier(spark):
+    keys = [*range(1000), 2**60, 2**60 + 1, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    numbered = history.number_rows(df, "k", "n")
+    assert {r.k: r.n for r in numbered.collect()} == {k: i for i, k in enumerate([None, *keys[:-1]], start=1)}
+    # a closed plan keeps the ranges: none holds nearly everything
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "_range" in plan
+    assert history.number_rows(df.limit(0), "k", "n").count() == 0
+
+
+def test_current_flag_needs_unique_positions(spark):
+    schema = "id string, v int, p long"
+    good = spark.createDataFrame([("a", 1, 0), ("a", 1, 1), ("b", 1, 2), (None, 1, 3)], schema)
+    flags = {(r.id, r.p): r.is_current for r in history.flag_current(good, "id", "v", "p").collect()}
+    assert flags == {("a", 0): True, ("a", 1): False, ("b", 2): True, (None, 3): True}
+    for rows in ([("a", 1, 0), ("a", 1, 0)], [("a", 1, None), ("a", 2, 0)]):
+        with pytest.raises(Exception, match="null or repeated"):
+            history.flag_current(spark.createDataFrame(rows, schema), "id", "v", "p").collect()
+
+
 def test_entities_run(spark, tmp_path):
     base = {"brewery_type": "regional", "city": "Cincinnati", "state": "Ohio", "country": "United States"}
     rows = [
