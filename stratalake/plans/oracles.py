@@ -637,14 +637,16 @@ t AS (
          list_filter(string_split_regex(replace(trim(message, ' ' || chr(10)), '?', ' '), '\\s+'), lambda x: x <> '') AS words
   FROM m
 ),
-k AS (SELECT *, CASE WHEN {_WEAK} THEN 'w' ELSE 's' END || now AS tagged, {_WEAK} AS weak FROM t),
+k AS (SELECT *, CASE WHEN now = '' THEN 'b' WHEN {_WEAK} THEN 'w' ELSE 's' END || now AS tagged, {_WEAK} AS weak FROM t),
 h AS (SELECT *, list(tagged) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS hist FROM k),
 b AS (
-  SELECT *, substr(list_reduce(hist, lambda acc, x:
-    CASE WHEN x[1] = 's' OR length(acc) = 1 OR contains(lower(substr(x, 2)), lower(substr(acc, 2))) THEN x
-         ELSE 'w' || left(substr(acc, 2) || '. ' || substr(x, 2), 500) END), 2) AS bound_query FROM h
+  SELECT *, list_reduce(hist, lambda acc, x:
+    CASE WHEN x = 'b' THEN acc
+         WHEN x[1] = 's' OR length(acc) = 1 OR contains(lower(substr(x, 2)), lower(trim(substr(acc, 2), ' ' || chr(10)))) THEN x
+         ELSE 'w' || left(trim(substr(acc, 2), ' ' || chr(10)) || '. ' || substr(x, 2), 500) END) AS topic FROM h
 ),
-p AS (SELECT *, lag(bound_query, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS prior FROM b)"""
+p AS (SELECT *, CASE WHEN now = '' THEN '' ELSE substr(topic, 2) END AS bound_query,
+        trim(lag(substr(topic, 2), 1, '') OVER (PARTITION BY conv_id ORDER BY turn), ' ' || chr(10)) AS prior FROM b)"""
 
 _EVAL = f"""WITH {_FOUND},
 agg AS (

@@ -24,7 +24,11 @@ def plain_fold(messages):
     out, prior = [], ""
     for message in messages:
         now = message.strip()
-        if now and prior and weak(now):
+        prior = prior.strip()
+        if not now:
+            out.append(("", False))
+            continue
+        if prior and weak(now):
             if prior.lower() in now.lower():
                 bound, mark = now, now.lower() != prior.lower()
             else:
