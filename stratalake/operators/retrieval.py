@@ -1,18 +1,15 @@
 """Keyword, vector and hybrid top-k for a table of queries over a table of chunks.
 
-A query must be compared with every chunk, but the pairs never become rows. Each task
-scores its chunks against a block of queries and keeps the best few per query, so only
-``k`` rows per query and task reach the shuffle that picks the winners.
-
-Up to ``MAX_QUERIES`` queries (and ``MAX_QUERY_BYTES`` of them) travel to every task.
-Beyond that, queries and chunks are cut into blocks that meet group by group.
+A query must be compared with every chunk, but the pairs never become rows. Queries and
+chunks are cut into blocks of bounded size that meet group by group; a group keeps the best
+few per query, so only ``k`` rows per query and block reach the shuffle that picks the winners.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,7 +22,7 @@ from stratalake.functions.embedding import DIMENSIONS, hash_vectors, hashed_vect
 TOP_K = 4
 MAX_QUERIES = 4096
 MAX_QUERY_BYTES = 64 * 2**20
-CHUNKS_PER_BLOCK, BLOCK_BYTES = 20_000, 64 * 2**20
+CHUNKS_PER_BLOCK, BLOCK_BYTES = 2_000, 16 * 2**20
 PARTS_PER_BLOCK = 16
 _CELLS = 4_000_000
 
@@ -76,20 +73,14 @@ def keyword_scorer(queries: pd.DataFrame) -> Scorer:
 
 
 def _finder(vocabulary: dict[str, int]) -> Callable[[str], set[int]]:
-    """Token numbers inside a text: one walk for many tokens, plain search for few."""
-    if len(vocabulary) > 64:
-        try:
-            import ahocorasick
-        except ImportError:
-            pass
-        else:
-            machine = ahocorasick.Automaton()
-            for token, number in vocabulary.items():
-                machine.add_word(token, number)
-            machine.make_automaton()
-            return lambda text: {number for _, number in machine.iter(text)}
-    pairs = list(vocabulary.items())
-    return lambda text: {number for token, number in pairs if token in text}
+    """Token numbers inside a text, all found in one walk over it."""
+    machine = ahocorasick.Automaton()
+    for token, number in vocabulary.items():
+        machine.add_word(token, number)
+    if not vocabulary:
+        return lambda text: set()
+    machine.make_automaton()
+    return lambda text: {number for _, number in machine.iter(text)}
 
 
 def _padded(vectors: Sequence[Sequence[float]], width: int) -> np.ndarray:
@@ -187,19 +178,25 @@ def _top_of(frames: Iterator[pd.DataFrame], queries: pd.DataFrame, lists: Mappin
     return all_of[["query_id", "list", "score", *carry]]
 
 
-def _measure(df: DataFrame) -> tuple[int, int]:
-    """Rows, and bytes of their texts and vectors."""
-    size = F.lit(0).cast("long")
+def _blocks(df: DataFrame, rows: int, size: int) -> DataFrame:
+    """One row ``n``: how many blocks of at most about ``rows`` rows and ``size`` bytes the table needs."""
+    weight = F.lit(0).cast("long")
     for name, kind in df.dtypes:
         if kind == "string":
-            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+            weight = weight + F.coalesce(F.octet_length(name), F.lit(0))
         elif kind.startswith("array"):
-            size = size + F.coalesce(F.size(name), F.lit(0)) * 8
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
-    return found["n"], found["bytes"] or 0
+            weight = weight + F.greatest(F.size(name), F.lit(0)) * 8
+    # Rows go to blocks by hash, so blocks are filled to three quarters on average.
+    need = F.greatest(F.count(F.lit(1)) / (0.75 * rows), F.coalesce(F.sum(weight), F.lit(0)) / (0.75 * size))
+    return df.agg(F.greatest(F.lit(1), F.ceil(need)).cast("int").alias("n"))
+
 
+def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], ties: Sequence[str], carry: Sequence[str], k: int, max_queries: int, max_bytes: int, max_chunks: int) -> DataFrame:
+    """The best of every pair of blocks: a block of queries meets a block of chunks in one bounded group.
 
-def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], ties: Sequence[str], carry: Sequence[str], k: int, max_queries: int, max_bytes: int) -> DataFrame:
+    The numbers of blocks are one-row aggregates inside the plan, so nothing runs while it is built
+    and every size takes the same way.
+    """
     out = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -208,35 +205,16 @@ def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepa
             *[T.StructField(name, chunks.schema[name].dataType) for name in carry],
         ]
     )
-    query_count, query_bytes = _measure(queries)
-    if query_count <= max_queries and query_bytes <= max_bytes:
-        block = queries.toPandas()
-
-        def per_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            if not block.empty:
-                yield _top_of(frames, block, lists, ties, carry, k)
-
-        return chunks.mapInPandas(per_task, out)
-
-    # Too many queries for every task to hold: query blocks times chunk blocks, each pair
-    # of blocks one group of bounded size. Rows go to blocks by hash, so blocks are even.
     # A group takes its queries a few at a time, which saves copies of the chunks.
-    chunk_count, chunk_bytes = _measure(chunks)
-    fill = 0.75
-    most = max_queries * PARTS_PER_BLOCK
-    query_blocks = math.ceil(max(query_count / most, query_bytes / max_bytes) / fill)
-    chunk_blocks = math.ceil(max(1, chunk_count / CHUNKS_PER_BLOCK, chunk_bytes / BLOCK_BYTES))
-
-    def spread(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    query_blocks = _blocks(queries, max_queries * PARTS_PER_BLOCK, max_bytes)
+    chunk_blocks = _blocks(chunks, max_chunks, BLOCK_BYTES)
 
-    def block_of(n: int, *names: str) -> Column:
-        return F.pmod(F.xxhash64(*names), F.lit(n)).cast("int")
+    def spread(df: DataFrame, own: str, mine: DataFrame, other: str, theirs: DataFrame, *names: str) -> DataFrame:
+        placed = df.withColumn(own, F.pmod(F.xxhash64(*names), mine.scalar()).cast("int")).withColumn("_n", theirs.scalar())
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
 
-    left = queries.withColumn("_qb", block_of(query_blocks, "query_id"))
-    left = left.withColumn("_cb", spread(chunk_blocks))
-    right = chunks.withColumn("_cb", block_of(chunk_blocks, *ties))
-    right = right.withColumn("_qb", spread(query_blocks))
+    left = spread(queries, "_qb", query_blocks, "_cb", chunk_blocks, "query_id")
+    right = spread(chunks, "_cb", chunk_blocks, "_qb", query_blocks, *ties)
 
     def per_pair(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         if mine.empty or theirs.empty:
@@ -257,14 +235,14 @@ def _ranked(candidates: DataFrame, ties: Sequence[str], k: int, *groups: str) ->
     return candidates.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def top_k(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], needs: Sequence[str], ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+def top_k(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], needs: Sequence[str], ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES, max_chunks: int = CHUNKS_PER_BLOCK) -> DataFrame:
     """Rows query_id, list, score, rank and the carried chunk columns; one pass for all lists.
 
     ``ties`` are unique numeric chunk columns that order chunks of equal score.
     """
     carried = list(dict.fromkeys([*carry, *ties]))
     read = chunks.select(*dict.fromkeys([*carried, *needs]))
-    found = _candidates(queries, read, lists, ties, carried, k, max_queries, max_bytes)
+    found = _candidates(queries, read, lists, ties, carried, k, max_queries, max_bytes, max_chunks)
     return _ranked(found, ties, k, "list")
 
 
