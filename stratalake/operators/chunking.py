@@ -11,6 +11,7 @@ PAGE_BREAK = "\f"
 #: Longest chunk, characters shared by neighbouring windows, shortest chunk.
 MAX_CHARS, OVERLAP, MIN_CHARS = 1200, 180, 80
 TITLE_CHARS = 120
+PARAGRAPHS_PER_BLOCK = 256
 
 
 def normalize_body(text: Column) -> Column:
@@ -67,32 +68,41 @@ def pack_paragraphs(body: Column, max_chars: int = MAX_CHARS, overlap: int = OVE
     """Paragraphs joined while they fit; one that never fits is cut into windows.
 
     Every paragraph either extends the open run or closes it. An oversize paragraph is a
-    run of its own, longer than the limit, so nothing can join it.
+    run of its own, longer than the limit, so nothing can join it. Paragraphs are taken in
+    blocks: appending copies a list, so lists stay short and the time linear.
     """
     paragraphs = F.filter(F.transform(F.split(body, "\n\n"), strip), lambda p: p != "")
+    none = F.array().cast("array<string>")
 
     def step(state: Column, para: Column) -> Column:
-        joined = F.concat(state["open"], F.lit("\n\n"), para)
-        fits = F.length(joined) <= max_chars
+        opened, done = state["open"], state["done"]
+        fits = F.length(opened) + 2 + F.length(para) <= max_chars
         return (
-            F.when(state["open"].isNull(), F.struct(para.alias("open"), state["done"].alias("done")))
-            .when(fits, F.struct(joined.alias("open"), state["done"].alias("done")))
-            .otherwise(
-                F.struct(
-                    para.alias("open"), F.array_append(state["done"], state["open"]).alias("done")
-                )
-            )
+            F.when(opened.isNull(), F.struct(para.alias("open"), done.alias("done")))
+            .when(fits, F.struct(F.concat(opened, F.lit("\n\n"), para).alias("open"), done.alias("done")))
+            .otherwise(F.struct(para.alias("open"), F.array_append(done, opened).alias("done")))
         )
 
+    def block_step(state: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(state["open"].alias("open"), none.alias("done")), step)
+        return let(
+            inner,
+            lambda s: F.struct(s["open"].alias("open"), F.array_append(state["parts"], s["done"]).alias("parts")),
+        )
+
+    def blocks_of(found: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor(F.size(found) / PARAGRAPHS_PER_BLOCK).cast("int"))
+        return F.transform(starts, lambda i: F.slice(found, i * PARAGRAPHS_PER_BLOCK + 1, PARAGRAPHS_PER_BLOCK))
+
     start = F.struct(
-        F.lit(None).cast("string").alias("open"), F.array().cast("array<string>").alias("done")
+        F.lit(None).cast("string").alias("open"), F.array().cast("array<array<string>>").alias("parts")
     )
     runs = F.aggregate(
-        paragraphs,
+        let(paragraphs, blocks_of),
         start,
-        step,
+        block_step,
         lambda s: F.when(s["open"].isNull(), F.array(body)).otherwise(
-            F.array_append(s["done"], s["open"])
+            F.array_append(F.flatten(s["parts"]), s["open"])
         ),
     )
     return F.flatten(F.transform(runs, lambda run: windows(run, max_chars, overlap)))

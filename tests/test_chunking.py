@@ -95,3 +95,20 @@ def test_chunk_defaults(spark, page):
     df = spark.createDataFrame([("c", page)], "id string, page int")
     row = ck.chunk_defaults(df).first()
     assert (row.id, row.text, row.title, row.page) == ("c", "", "", page or 0)
+
+
+def test_packing_time_grows_with_the_text(spark):
+    import time
+
+    def seconds(paragraphs):
+        text = "\n\n".join(f"paragraph {i} " + "x" * (i % 50) for i in range(paragraphs))
+        df = spark.createDataFrame([("s", "p", text)], "source_id string, source_path string, text string")
+        begun = time.perf_counter()
+        rows = ck.chunk_texts(df, max_chars=200, overlap=40, min_chars=1).collect()
+        return time.perf_counter() - begun, rows
+
+    seconds(100)
+    few, _ = seconds(10_000)
+    many, rows = seconds(100_000)
+    assert "".join(r.text for r in rows).count("paragraph ") == 100_000
+    assert many < 40 * max(few, 0.3)
