@@ -342,6 +342,13 @@ ORACLES: dict[str, str] = {
         ), p AS (SELECT unnest(l) AS layer, table_name, rows FROM c)
         SELECT * FROM p UNION ALL SELECT 'all', 'total', CAST(sum(rows) AS BIGINT) FROM p""",
     "layer_counts": _counts(_COUNTED),
+    "json_list_roundtrip": "SELECT * FROM supplier",
+    "csv_inferred": "SELECT p_partkey, p_name, p_size, round(p_retailprice, 2) AS p_retailprice, 'p_partkey:int,p_name:string,p_brand:string,p_type:string,p_size:int,p_retailprice:double' AS kinds FROM part",
+    "shop_flow": """
+        SELECT 'processing/customer' AS place, count(*) AS rows FROM customer UNION ALL SELECT 'processing/orders', count(*) FROM orders
+        UNION ALL SELECT 'processing/nation', count(*) FROM nation
+        UNION ALL SELECT 'filtered/customer_building', count(*) FROM customer WHERE c_mktsegment = 'BUILDING'
+        UNION ALL SELECT 'gold/open', count(*) FROM orders WHERE o_orderstatus = 'O'""",
     "table_exports": _counts(_COUNTED),
     "catalog_tables": f"""
         SELECT table_name || '_pqt' AS table_name, rows FROM ({_counts(_COUNTED)})

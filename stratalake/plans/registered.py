@@ -278,6 +278,41 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, path, rows.schema)
 
 
+def json_list_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's nation as one file that holds a JSON list, read back as records."""
+    rows = table(spark, sf_dir, "supplier")
+    root = scratch(spark, "lists")
+    listed = F.to_json(F.array_sort(F.collect_list(F.struct(*rows.columns))))
+    lists = rows.groupBy(F.col("s_nationkey").alias("nation")).agg(listed.alias("value"))
+    lists.write.partitionBy("nation").text(root)
+    return files.read_json_list(spark, f"{root}/*/*", rows.schema)
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as CSV and read with inferred types."""
+    path = scratch(spark, "inferred")
+    sinks.write_csv(table(spark, sf_dir, "part"), path)
+    read = files.read_csv(spark, path, infer=True)
+    kinds = F.lit(",".join(f"{name}:{kind}" for name, kind in read.dtypes))
+    return read.select("p_partkey", "p_name", "p_size", F.round("p_retailprice", 2).alias("p_retailprice"), kinds.alias("kinds"))
+
+
+def shop_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shop run over customers and orders: landing CSV, processing, filtered outputs; rows of each table."""
+    root = scratch(spark, "shop")
+    names = ("customer", "orders", "nation")
+    for name in names:
+        sinks.write_csv(sinks.as_text_table(table(spark, sf_dir, name)), f"{root}/landing/{name}")
+    rules = {"customer": [normalize.FilterRule("customer_building", "c_mktsegment", "BUILDING")]}
+    columns = {name: table(spark, sf_dir, name).columns for name in names}
+    made = flows.run_shop(spark, f"{root}/landing", f"{root}/processing", f"{root}/curated", columns, rules)
+    counts = {f"processing/{n}": c for n, c in made["processing"].items()}
+    counts |= {f"filtered/{n}": c for n, c in made["filtered"].items()}
+    step = flows.run_step(spark, f"{root}/processing/orders", f"{root}/gold/open", lambda d: d.where("o_orderstatus = 'O'"))
+    counts["gold/open"] = step
+    return spark.createDataFrame(list(counts.items()), "place string, rows bigint")
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer")
     path = scratch(spark, "parquet")
@@ -964,7 +999,7 @@ QUERIES: dict[str, Query] = {
         orders_latest, entity_silver, kpi_orders_daily, kpi_metric_spec, completed_orders,
         analytics_export, export_gate, layer_row_stats, filter_rules, filter_outputs, partition_keys,
         partition_roundtrip, partition_inventory, entity_layers, date_window, csv_roundtrip,
-        csv_cloud_roundtrip, json_roundtrip, parquet_roundtrip, typed_copy, publish_text,
+        csv_cloud_roundtrip, json_roundtrip, json_list_roundtrip, csv_inferred, shop_flow, parquet_roundtrip, typed_copy, publish_text,
         publish_summary, layer_counts, table_exports, catalog_tables, lake_inventory,
         lake_file_list, lake_report, dq_report, dq_silver_gate, dq_bronze_duplicates, pk_duplicates,
         declared_rules, fk_orphans, unlabelled_documents, distinct_customers_card,

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.history import latest_per_key
 from stratalake.sources.files import path_exists
-from stratalake.sources.sinks import write_partitions
+from stratalake.sources.sinks import stored, write_partitions
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -35,11 +35,12 @@ def incremental_silver(
     load_date: str = "load_date",
     extra_keys: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Appends each batch to bronze and rebuilds the silver partitions of its load dates.
+    """Appends each batch to bronze and merges it into the silver partitions of its load dates.
 
     Bronze keeps one folder per load date and batch, so a batch run again after a failure
-    overwrites its own files. Silver is rebuilt from all bronze rows of the load dates the
-    batch touched, the last arrival of each key winning.
+    overwrites its own files. The batch's last arrival of each key meets what silver holds for
+    the same dates, the last arrival winning; merging a batch again changes nothing. A batch
+    costs its own rows and the silver rows of its dates, however many batches came before.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -48,11 +49,15 @@ def incremental_silver(
         written = write_partitions(rows, bronze, [load_date, "batch_id"])["rows"]
         if not written:
             return
-        stored = spark.read.schema(rows.schema).parquet(bronze)
-        # The dates this batch wrote, read from its own folders.
-        touched = stored.where(F.col("batch_id") == batch_id).select(load_date).distinct()
-        affected = stored.join(touched, load_date, "left_semi").drop("batch_id")
-        current = last_wins_per(affected, [load_date, key], order)
+        # Only the folders this batch wrote are opened.
+        own = spark.read.schema(rows.schema).parquet(bronze).where(F.col("batch_id") == batch_id)
+        current = last_wins_per(own.drop("batch_id"), [load_date, key], order)
+        if path_exists(spark, silver):
+            held = spark.read.schema(current.schema).parquet(silver)
+            held = held.join(current.select(load_date).distinct(), load_date, "left_semi")
+            merged = last_wins_per(held.select(current.columns).unionByName(current), [load_date, key], order)
+            # Silver's partitions are inputs of their own replacement, so that is stored first.
+            current = stored(merged, "silver")
         write_partitions(current, silver, [*extra_keys, load_date])
 
     return (

@@ -71,7 +71,7 @@ def plan_of(spark, sf_dir, name):
 #: These write files before they return, so their plan is only the read at the end.
 WRITERS = {
     "layer_row_stats", "entity_layers", "partition_roundtrip", "filter_outputs", "csv_roundtrip", "csv_cloud_roundtrip",
-    "json_roundtrip", "parquet_roundtrip", "typed_copy", "table_exports", "catalog_tables", "whole_text_chunks",
+    "json_roundtrip", "json_list_roundtrip", "csv_inferred", "shop_flow", "parquet_roundtrip", "typed_copy", "table_exports", "catalog_tables", "whole_text_chunks",
     "stream_dedupe", "stream_dedupe_watermark", "stream_incremental", "notes",
 }
 
