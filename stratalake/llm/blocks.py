@@ -35,8 +35,8 @@ SAMPLE = 200
 TRAIN_BLOCKS = 200
 VARIANTS = 4
 
-PATH, WORDS, RATES, HIDDEN = 64, 24, 8, 24
-EPOCHS, BATCH, RATE = 6, 32, 0.01
+PATH, WORDS, RATES, HIDDEN = 96, 24, 8, 24
+EPOCHS, BATCH, RATE = 8, 32, 0.01
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -250,7 +250,8 @@ class Labeller:
         first = {k: np.zeros_like(v) for k, v in self.w.items()}
         second = {k: np.zeros_like(v) for k, v in self.w.items()}
         step = 0
-        for _ in range(EPOCHS):
+        for epoch in range(EPOCHS):
+            pace = RATE * (1 - 0.9 * epoch / EPOCHS)
             # batches of about equal length in a new order
             order = np.argsort(size + rng.random(len(size)) * 8)
             batches = [order[i : i + BATCH] for i in range(0, len(order), BATCH)]
@@ -267,7 +268,7 @@ class Labeller:
                     first[k] = 0.9 * first[k] + 0.1 * g
                     second[k] = 0.999 * second[k] + 0.001 * g**2
                     move = (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-                    self.w[k] = (self.w[k] - RATE * move).astype(np.float32)
+                    self.w[k] = (self.w[k] - pace * move).astype(np.float32)
 
     def _gradients(self, x: np.ndarray, size: np.ndarray, truth: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
         turned = self._turned(size, len(x))
@@ -327,19 +328,31 @@ _WRAPS = (
     ("<main>", "</main>"), ('<div class="content">', "</div>"), ('<div id="main">', "</div>"), ('<div class="post-body">', "</div>"),
     ('<section class="entry">', "</section>"), ("<div>", "</div>"), ('<main><div class="article-body">', "</div></main>"),
     ('<div class="story text">', "</div>"), ("<main><article>", "</article></main>"), ('<div id="page"><article class="post">', "</article></div>"),
+    ('<div class="container"><div class="row"><div class="col">', "</div></div></div>"), ("<table><tr><td>", "</td></tr></table>"),
+    ('<div id="wrapper"><main id="content">', "</main></div>"), ('<div role="main">', "</div>"), ('<div class="page"><section>', "</section></div>"),
+    ('<article><div class="body">', "</div></article>"), ("", ""),
 )
+#: Parts around the article: {l} are links in a list, {s} a few words, {t} a text.
 _AROUND = (
     '<nav class="menu"><ul>{l}</ul></nav>', '<header><h2>{s}</h2><p>{t}</p></header>', '<div class="header"><p>{s}</p></div>',
-    '<div class="menu"><ul>{l}</ul></div>', '<div class="cookie-notice"><p>{t}</p><button>{s}</button></div>', '<div id="cookie-banner">{t}</div>',
-    '<div class="notice">{t}</div>', '<div class="ad">{t}</div>', '<div class="advert sponsored"><p>{t}</p></div>', '<div class="breadcrumb">{l}</div>',
+    '<div class="menu"><ul>{l}</ul></div>', '<div class="breadcrumb">{l}</div>', '<header><a href="/">{s}</a><ul>{l}</ul></header>',
+    '<div class="cookie-notice"><p>{t}</p><button>{s}</button></div>', '<div class="ad">{t}</div>', '<div class="advert sponsored"><p>{t}</p></div>',
+    '<div id="cookie-banner">{t}</div>', '<div class="notice">{t}</div>', '<p class="notice">{t}</p>', '<div role="alert"><p>{t}</p></div>',
+    '<div class="gdpr consent"><p>{t}</p><p>{s}</p></div>', '<div class="banner">{t}</div>', '<div class="masthead"><h1>{s}</h1></div>',
+    '<div id="top"><ul>{l}</ul></div>', '<nav><a href="/">{s}</a> <a href="/x">{s}</a></nav>', '<ul class="nav">{l}</ul>', '<div class="toolbar"><p>{s}</p></div>',
     '<form action="/q"><p>{s}</p><label>{s}</label><input name="q"></form>', '<form class="search"><label>{s}</label></form>',
+    '<div class="login"><form><label>{s}</label><label>{s}</label></form></div>', '<div class="promo"><p>{t}</p></div>', '<ins class="adsbygoogle">{t}</ins>',
 )
 _AFTER = (
     '<aside><h3>{s}</h3><ul>{l}</ul></aside>', '<div class="sidebar"><p>{t}</p><ul>{l}</ul></div>', '<aside class="related"><p>{t}</p></aside>',
     '<section class="comments"><h2>{s}</h2><div class="comment"><p>{t}</p></div><div class="comment"><p>{t}</p><p>{t}</p></div></section>',
     '<div id="comments"><p class="comment">{t}</p><p class="comment">{t}</p></div>', '<ul class="comment-list"><li>{t}</li><li>{t}</li></ul>',
-    '<form class="comment-form"><p>{t}</p><label>{s}</label></form>', '<div class="newsletter"><p>{t}</p><form><label>{s}</label></form></div>',
-    '<div class="share"><ul>{l}</ul></div>', '<div class="footer"><p>{t}</p></div>', '<footer><p>{t}</p><ul>{l}</ul></footer>', '<div class="ads">{t}</div>',
+    '<form class="comment-form"><p>{t}</p><label>{s}</label></form>', '<ol class="commentlist"><li><p>{t}</p></li><li><p>{t}</p></li></ol>',
+    '<div class="reader-comments"><div class="reply"><p>{s}</p><p>{t}</p></div></div>', '<section id="discussion"><article class="comment"><p>{t}</p></article></section>',
+    '<div class="newsletter"><p>{t}</p><form><label>{s}</label></form></div>', '<div class="share"><ul>{l}</ul></div>', '<div class="pagination">{l}</div>',
+    '<div class="footer"><p>{t}</p></div>', '<footer><p>{t}</p><ul>{l}</ul></footer>', '<div class="ads">{t}</div>', '<div id="bottom"><p>{t}</p></div>',
+    '<div class="copyright">{s}</div>', '<div class="widget"><h3>{s}</h3><p>{t}</p></div>', '<aside class="promo"><p>{t}</p><p>{t}</p></aside>',
+    '<section class="related-posts"><h3>{s}</h3><ul>{l}</ul></section>', '<div class="subscribe"><p>{t}</p></div>', '<div class="tags"><ul>{l}</ul></div>',
 )
 
 
@@ -369,9 +382,9 @@ def variant(paragraphs: list[str], spare: list[str], rng: np.random.Generator) -
         tag = "h1" if i == 0 and rng.random() < 0.7 else ("li" if rng.random() < 0.04 else "h2" if rng.random() < 0.04 else "p")
         body.append(f"<{tag}>\x01{html.escape(paragraph)}</{tag}>")
         if rng.random() < 0.06:
-            body.append(fill(_AROUND[rng.integers(6, 9)]))
+            body.append(fill(_AROUND[rng.integers(7, 9)]))
     left, right = _WRAPS[rng.integers(len(_WRAPS))]
-    inside = some(_AFTER[3:7], 1) if rng.random() < 0.25 else ""
+    inside = some(_AFTER[3:9], 1) if rng.random() < 0.25 else ""
     article = left + "".join(body) + inside + right
     title = "<head><title>" + html.escape(paragraphs[0][:60]) + "</title></head>"
     return f"<html>{title}<body>{some(_AROUND, 4)}{article}{some(_AFTER, 4)}<footer>{fill('{t}')}</footer></body></html>"
@@ -384,7 +397,8 @@ def trained(pages: list[str], seed: int = 4) -> Labeller:
     marked = [(c, t) for c in cuts if c and (t := teacher(c)) is not None and t.any()]
     texts = [[b.text for b, y in zip(c, t, strict=True) if y] for c, t in marked]
     spare = [x for t in texts for x in t] + [b.text for c, t in marked for b, y in zip(c, t, strict=True) if not y]
-    sequences, labels = [c for c, _ in marked], [t for _, t in marked]
+    # the pages as they are count twice
+    sequences, labels = [c for c, _ in marked] * 2, [t for _, t in marked] * 2
     for paragraphs in texts:
         for _ in range(VARIANTS):
             take = paragraphs[: 1 + int(rng.integers(len(paragraphs)))] if rng.random() < 0.3 else paragraphs
