@@ -272,10 +272,19 @@ def text_vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str]
     return top_k(_asked(queries), chunks, lists, ("text",), ties, carry, k, **bounds).drop("list")
 
 
-def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, constant: int = 60, **bounds: int) -> DataFrame:
-    """Keyword and hashed-vector lists joined by reciprocal rank: a hit adds 1 / (constant + rank)."""
-    lists = {"keyword": keyword_scorer, "vector": text_scorer(dimensions)}
-    hits = top_k(_asked(queries), chunks, lists, _KEYWORD_NEEDS, ties, carry, k, **bounds)
+def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, constant: int = 60, stored: bool = False, **bounds: int) -> DataFrame:
+    """Keyword and vector lists joined by reciprocal rank: a hit adds 1 / (constant + rank).
+
+    With ``stored`` the vectors of both sides are columns; otherwise texts are hashed on the spot.
+    """
+    asked, needs = _asked(queries), _KEYWORD_NEEDS
+    if stored:
+        lists = {"keyword": keyword_scorer, "vector": vector_scorer}
+        asked = queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"), "vector")
+        needs = (*needs, "vector")
+    else:
+        lists = {"keyword": keyword_scorer, "vector": text_scorer(dimensions)}
+    hits = top_k(asked, chunks, lists, needs, ties, carry, k, **bounds)
     keys = list(dict.fromkeys(["query_id", *carry, *ties]))
     part = F.sum(F.lit(1.0) / (F.col("rank") + constant))
     return _ranked(hits.groupBy(*keys).agg(F.round(part, 12).alias("score")), ties, k)

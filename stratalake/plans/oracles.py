@@ -724,3 +724,4 @@ ORACLES["label_cosine"] = """
     m AS (SELECT label, pos, avg(v) AS v FROM x GROUP BY label, pos)
     SELECT vec_id, round(sum(x.v * m.v) / (sqrt(sum(x.v * x.v)) * sqrt(sum(m.v * m.v))), 9) AS cosine
     FROM x JOIN m USING (label, pos) GROUP BY vec_id"""
+ORACLES["hybrid_stored_topk"] = ORACLES["hybrid_topk"]

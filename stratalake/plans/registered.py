@@ -776,6 +776,14 @@ def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(retrieval.hybrid_top_k(benchmark_queries(spark, sf_dir), chunks, ["doc_id"]))
 
 
+def hybrid_stored_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hybrid search over a stored vector table, joined to its chunks one to one."""
+    chunks = document_chunks(spark, sf_dir)
+    vectors = sinks.stored(retrieval.with_hashed_vectors(chunks).select("id", "vector"), "vectors")
+    asked = retrieval.with_hashed_vectors(benchmark_queries(spark, sf_dir), "query")
+    return _scored(retrieval.hybrid_top_k(asked, retrieval.attach_vectors(chunks, vectors), ["doc_id"], stored=True))
+
+
 def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of one label sent again with turned signs, and as many new ids; one row per number."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
@@ -1007,7 +1015,7 @@ QUERIES: dict[str, Query] = {
         seed_payments, seed_reviews, page_cut, required_fields, llm_json_extract, route_extract,
         prompt_fingerprint, storage_uris, chunk_documents, chunk_pages, page_split,
         chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, vector_topk,
-        vector_topk_gaps, text_vector_topk, hybrid_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
+        vector_topk_gaps, text_vector_topk, hybrid_topk, hybrid_stored_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
         notes, retrieval_eval, eval_pass_rate, prompt_context, followup_binding, last_turn,
         preference_profile, preference_profile_few, trace_summary, last_trace, stream_dedupe,
         stream_dedupe_watermark, stream_incremental,
