@@ -219,6 +219,7 @@ def evaluate_cases(found: DataFrame) -> DataFrame:
     def flag(value: Column) -> Column:
         return F.when(value, F.lit("True")).otherwise(F.lit("False"))
 
+    # The wording of the findings.
     checks = F.array(
         F.when(
             covered != wanted,
