@@ -23,8 +23,11 @@ from pyspark.sql import types as T
 
 #: Largest rank file that is broadcast; vocabularies do not grow with the data.
 MAX_RANK_BYTES = 64 << 20
-#: A codec remembers so many matches per worker, then starts afresh. Only speed depends on it.
-REMEMBERED = 400_000
+#: A codec remembers so many matches per worker. Only speed depends on it.
+REMEMBERED = 700_000
+
+#: Stands for neighbours that do not merge.
+_NEVER = 1 << 62
 
 OUTPUTS = {
     "ids": (pa.list_(pa.int32()), T.ArrayType(T.IntegerType())),
@@ -45,13 +48,19 @@ def read_ranks(path: str) -> bytes:
 
 
 class _Remembered(dict):
+    """What ``make`` gave for a key. When full, one older generation stays, and keys asked for again move up."""
+
     def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, max(1, limit // 2), {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -71,6 +80,15 @@ class Codec:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         if missing := [b for b in range(256) if bytes([b]) not in self.ranks]:
             raise ValueError(f"ranks lack {len(missing)} single bytes")
+        self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        # neighbours that merge: both ids in one number, and the rank of what they make
+        find = self.ranks.get
+        self.pairs = {
+            left << 32 | right: rank
+            for token, rank in self.ranks.items()
+            for i in range(1, len(token))
+            if (left := find(token[:i])) is not None and (right := find(token[i:])) is not None
+        }
         self.matches = _Remembered(self._match, self.limit)
         self.nodes = _Remembered(self._node, self.limit)
         self.seams = _Remembered(self._seam, self.limit)
@@ -113,22 +131,19 @@ class Codec:
         """Greedy merging of a window: always the leftmost pair of lowest rank."""
         if len(data) > 64:
             return self._merge_long(data)
-        ranks = self.ranks
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [ranks.get(data[i : i + 2]) for i in range(len(data) - 1)]
-        while True:
-            best, at = None, -1
-            for i, rank in enumerate(pairs):
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                return tuple([ranks[p] for p in parts])
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del pairs[at]
-            if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
+        pair = self.pairs.get
+        ids = [self.bytes[b] for b in data]
+        ranks = [pair(a << 32 | b, _NEVER) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != _NEVER:
+            at = ranks.index(best)
+            # a token's rank is its id, so the pair becomes its rank
+            ids[at] = best
+            del ids[at + 1], ranks[at]
+            if at < len(ranks):
+                ranks[at] = pair(best << 32 | ids[at + 1], _NEVER)
             if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                ranks[at - 1] = pair(ids[at - 1] << 32 | best, _NEVER)
+        return tuple(ids)
 
     def _merge_long(self, data: bytes) -> tuple[int, ...]:
         """The same with a heap over linked parts, for windows that stay unsettled for long."""
