@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratalake.operators import quality
 from stratalake.operators.chunking import chunk_texts
