@@ -386,3 +386,21 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     """One row of each group of near-duplicates, unchanged: those with the group's least id."""
     dropped = clusters(docs, key, text, width).where("NOT kept").select(F.col("doc").alias("dropped")).distinct()
     return docs.join(dropped, docs[key].eqNullSafe(dropped["dropped"]), "left_anti")
+
+
+#: The query over ``documents`` for DuckDB: all pairs with a common window, and everything reachable.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS shingles FROM w),
+u AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM s JOIN c ON s.doc_id = c.doc_id
+"""

@@ -110,5 +110,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_line_frequency": linefreq.ORACLE,
     "op3_warc_revisits": warc.ORACLE,
+    "op5_hyperminhash": minhash.ORACLE,
     "op8_personal_data": pii.oracle(),
 }
