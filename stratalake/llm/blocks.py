@@ -3,7 +3,7 @@ r"""HTML main text by a recurrent block labeller.
 A page is cut into blocks, the runs of text between block-level tags, each with the path of open elements. A
 bidirectional LSTM in numpy reads the page's blocks in order, each as a hashed vector of its tag path, a hashed vector
 of its words and a few rates, and labels every block with the whole page as context. The text is what is labelled as
-article, joined by line feeds.
+article, joined by ``joint``: one line feed, two in the query.
 
 The labeller is trained on a bounded sample of pages (``SAMPLE`` pages, ``TRAIN_BLOCKS`` blocks of each): those with
 an article element, which gives the labels, and variants of them in other layouts, with menus, notices, adverts, forms,
@@ -433,8 +433,10 @@ def fit(pages: DataFrame, key: str = "page_id", source: str = "html") -> dict[st
     return weights or {k: v for k, v in trained([]).w.items()}
 
 
-def extract(pages: DataFrame, weights: dict[str, np.ndarray], source: str = "html", name: str = "text") -> DataFrame:
-    """``pages`` with the main text of each and ``n_chars``, its code points."""
+def extract(
+    pages: DataFrame, weights: dict[str, np.ndarray], source: str = "html", name: str = "text", joint: str = "\n"
+) -> DataFrame:
+    """``pages`` with the main text of each, its blocks joined by ``joint``, and ``n_chars``, its code points."""
     made = (name, "n_chars")
     base = pages.drop(*[c for c in made if c != source])
     names = [c for c in base.columns if c not in made]
@@ -452,7 +454,7 @@ def extract(pages: DataFrame, weights: dict[str, np.ndarray], source: str = "htm
                 labels = [np.array([not set(re.split("[ /:]", b.path)) & OTHER for b in c], bool) for c in cuts]
             else:
                 labels = model.label(cuts)
-            texts = ["\n".join(b.text for b, y in zip(c, t, strict=True) if y) for c, t in zip(cuts, labels, strict=True)]
+            texts = [joint.join(b.text for b, y in zip(c, t, strict=True) if y) for c, t in zip(cuts, labels, strict=True)]
             columns = [batch.column(at(n)) for n in names]
             columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])

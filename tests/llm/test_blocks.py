@@ -100,3 +100,17 @@ def test_rows_of_all_kinds(spark, weights):
     none = blocks.fit(table.limit(0))
     ruled = blocks.extract(spark.createDataFrame([(1, "<nav>menu</nav><p>words</p>")], "page_id long, html string"), none)
     assert ruled.first()["text"] == "words"
+
+
+def test_query_joins_blocks_by_two_line_feeds(spark, sf_dir):
+    from stratalake.llm.queries import QUERIES
+
+    sources = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    rows = QUERIES["op10_block_labeller"](spark, sf_dir).collect()
+    wants = {}
+    for key, page in sources.items():
+        cut = blocks.cut(page)
+        wants[key] = "\n\n".join(b.text for b, y in zip(cut, blocks.teacher(cut), strict=True) if y)
+    assert len(rows) == len(sources) and any("\n\n" in w for w in wants.values())
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert sum(r["text"] == wants[r["page_id"]] for r in rows) / len(rows) > 0.98
