@@ -2,11 +2,12 @@ r"""Quality rules with cross-document line frequency.
 
 Lines are normalised (lower case, every run of digits as 0, white space as one blank, trimmed) and hashed to 64
 bits. For every host the documents with a line are counted; a line in more than ``min_docs`` documents and more than
-``share`` of the host's documents is furniture. A document is depleted, and rejected, if furniture makes up more than
-``depleted`` of its normalised characters.
+``share`` of the host's documents is furniture and is taken out of the text. A document is depleted, and rejected, if
+furniture makes up more than ``depleted`` of its normalised characters.
 
 Everything runs in built-in functions. A row's own numbers are made in place; only line hashes are shuffled, and
-counted before they are. Joins on a host's common lines and on rows are plain joins that Spark can split.
+counted before they are. A host's common lines are one array, as long as 1 / ``share`` documents at most, that meets
+its documents in a join of hosts; each line is then looked up in its place, so no text is numbered or grouped.
 
 Every row is one document, repeated rows and ids included. A null text has no words and fails the base rules; a
 null host is a host of its own. Windows of words are compared by 64-bit hashes.
@@ -73,7 +74,31 @@ def normalised_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def judge(
+def _looked_up(text: Column) -> Column:
+    """Hash and length of the normalised line at each place of a text; empty lines have length 0."""
+    flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[0-9]+", "0")
+    flat = F.regexp_replace(flat, r"[\x20\x09\x0B-\x0D]+", " ")
+    line = F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x))
+    return F.transform(line, lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n")))
+
+
+def common_lines(
+    docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE
+) -> DataFrame:
+    """``_host``, ``_common``: the hashes of the furniture lines of every host that has some, stored."""
+    spark = docs.sparkSession
+    path = scratch(spark, "lines")
+    own = F.transform(normalised_lines(F.col(text)), lambda x: F.xxhash64(x))
+    once = docs.select(F.col(host).alias("_host"), F.explode(F.array_distinct(own)).alias("h"))
+    hosts = docs.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("docs"))
+    counts = once.groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
+    same = counts["_host"].eqNullSafe(hosts["_host"])
+    common = counts.join(hosts, same).where(F.col("n_docs") > share * F.col("docs")).select(counts["_host"], "h")
+    common.groupBy("_host").agg(F.collect_set("h").alias("_common")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def take_out(
     docs: DataFrame,
     text: str = "text",
     host: str = "source",
@@ -81,50 +106,59 @@ def judge(
     share: float = SHARE,
     depleted: float = DEPLETED,
 ) -> DataFrame:
-    """``docs`` without the text, with the base numbers, ``base_failed``, line counts, ``depleted`` and ``kept``.
+    """``docs`` with furniture lines taken out of the text, and with the columns of :func:`judge`; no row is rejected.
 
-    ``n_lines`` counts lines with characters, ``n_common`` those that are furniture; ``common_share`` is their share
-    of the normalised characters.
+    The numbers are those of the text as it came. A text without furniture stays as it is, null included.
     """
-    spark = docs.sparkSession
-    path = scratch(spark, "lines")
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     made += ("n_lines", "n_common", "common_share", "depleted", "kept")
     base = docs.drop(*[c for c in made if c not in (text, host)])
-    kept = [c for c in base.columns if c != text]
-    hashed = F.transform(normalised_lines(F.col(text)), lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n")))
-    numbers = base_numbers(base.withColumn("_hashed", hashed), text).drop(text)
-    numbers.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
-
-    lines = rows.select("_row", F.col(host).alias("_host"), F.explode("_hashed").alias("x")).select("_row", "_host", "x.h", "x.n")
-    once = rows.select(F.col(host).alias("_host"), F.explode(F.array_distinct("_hashed.h")).alias("h"))
-    hosts = rows.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("docs"))
-    counts = once.groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
-    same = counts["_host"].eqNullSafe(hosts["_host"])
-    common = counts.join(hosts, same).where(F.col("n_docs") > share * F.col("docs")).select(counts["_host"], "h")
-    met = lines.alias("l").join(
-        common.alias("c"), (F.col("l.h") == F.col("c.h")) & F.col("l._host").eqNullSafe(F.col("c._host"))
+    columns = base.columns
+    common = common_lines(base, text, host, min_docs, share)
+    met = base.join(common, base[host].eqNullSafe(common["_host"]), "left").drop(common["_host"])
+    step = base_numbers(met, text).withColumn("_looked", _looked_up(F.col(text)))
+    full = F.filter("_looked", lambda x: x["n"] > 0)
+    known = F.coalesce(F.array_intersect(F.transform(full, lambda x: x["h"]), "_common"), F.array().cast("array<bigint>"))
+    step = step.withColumn("_known", known).drop("_common")
+    furniture = lambda x: (x["n"] > 0) & F.array_contains("_known", x["h"])
+    step = step.withColumns(
+        {
+            "n_lines": F.size(full).cast("long"),
+            "_gone": F.filter("_looked", furniture),
+            "_left": F.filter(
+                F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda _, i: ~furniture(F.get("_looked", i))
+            ),
+        }
     )
-    lost = met.groupBy("_row").agg(F.count(F.lit(1)).alias("n_common"), F.sum("n").alias("_lost"))
-
-    total = F.aggregate("_hashed", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    gone = F.when(total > 0, F.coalesce("_lost", F.lit(0)) / total).otherwise(F.lit(0.0))
+    add = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    total = add("_looked")
+    gone = F.when(total > 0, add("_gone") / total).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return (
-        rows.join(lost, "_row", "left")
-        .withColumns(
-            {
-                "base_failed": failed,
-                "n_lines": F.size("_hashed").cast("long"),
-                "n_common": F.coalesce("n_common", F.lit(0)).cast("long"),
-                "common_share": F.round(gone, 6),
-                "depleted": gone > depleted,
-                "kept": ~failed & (gone <= depleted),
-            }
-        )
-        .select(*kept, *made)
-    )
+    step = step.withColumns({"_share": gone, "base_failed": failed, "n_common": F.size("_gone").cast("long")})
+    left = F.when(F.col("n_common") > 0, F.array_join("_left", "\n")).otherwise(F.col(text))
+    return step.withColumns(
+        {
+            "common_share": F.round("_share", 6),
+            "depleted": F.col("_share") > depleted,
+            "kept": ~F.col("base_failed") & (F.col("_share") <= depleted),
+            text: left,
+        }
+    ).select(*columns, *made)
+
+
+def clean(docs: DataFrame, text: str = "text", host: str = "source", **limits) -> DataFrame:
+    """The documents that are kept, without furniture lines in their text; no other column is added."""
+    made = take_out(docs.withColumn("_as_came", F.struct(*docs.columns)), text, host, **limits).where("kept")
+    return made.select(*[F.col(c) if c == text else F.col("_as_came")[c].alias(c) for c in docs.columns])
+
+
+def judge(docs: DataFrame, text: str = "text", host: str = "source", **limits) -> DataFrame:
+    """``docs`` without the text, with the base numbers, ``base_failed``, line counts, ``depleted`` and ``kept``.
+
+    ``n_lines`` counts lines with characters, ``n_common`` those that :func:`take_out` removes; ``common_share`` is
+    their share of the normalised characters.
+    """
+    return take_out(docs, text, host, **limits).drop(text)
 
 
 #: The same rules for the test tables, with lines as texts instead of hashes.

@@ -46,6 +46,39 @@ def test_common_lines_deplete(spark):
     assert linefreq.judge(table.limit(0)).count() == 0
 
 
+def test_common_lines_are_taken_out(spark):
+    own = " ".join(chr(97 + i % 26) * (1 + i // 26) for i in range(80))
+    common = "Call %d now   for the best offer of the whole year in town"
+    rows = [(i, f"{common % i}\n\n {own} {chr(97 + i % 26) * (5 + i // 26)}\n  {common % 7} ", "hot") for i in range(40)]
+    rows += [(100 + i, "\n".join([common % i] * 9) + "\n" + own[:30], "hot") for i in range(3)]
+    rows += [(200, f"{common % 1}\n{own}", "cold"), (201, f"{common % 1}\n{own}", None), (202, None, None), (203, f"{own}\n\n", "hot")]
+    table = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'clash' AS kept", "'clash' AS _host", "'other' AS n_lines")
+    every = {r["doc_id"]: r for r in linefreq.take_out(table, min_docs=20, share=0.1).collect()}
+    assert len(every) == len(rows) and every[0]["n_common"] == 2 and every[0]["n_lines"] == 3
+    assert every[100]["depleted"] and every[100]["text"] == own[:30] and every[202]["text"] is None
+    got = linefreq.clean(table, min_docs=20, share=0.1)
+    assert got.columns == ["doc_id", "text", "source", "kept", "_host", "n_lines"]
+    by = {r["doc_id"]: r for r in got.collect()}
+    # depleted documents and those that fail the base rules are rejected; other hosts keep the line
+    assert set(by) == {*range(40), 200, 201, 203}
+    assert all(by[i]["text"] == "\n" + rows[i][1].split("\n")[2] and by[i]["kept"] == "clash" for i in range(40))
+    assert by[200]["text"] == rows[43][1] and by[201]["text"] == rows[44][1] and by[203]["text"] == f"{own}\n\n"
+    assert linefreq.clean(table.limit(0)).count() == 0
+
+
+def test_query_matches_sql(spark, sf_dir):
+    import duckdb
+
+    from stratalake.llm.queries import QUERIES
+
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+        found = con.execute(linefreq.ORACLE)
+        names, want = [c[0] for c in found.description], found.fetchall()
+    got = QUERIES["op1_line_frequency"](spark, sf_dir).select(names).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     from stratalake.llm.queries import QUERIES
 
