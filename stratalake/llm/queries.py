@@ -40,7 +40,7 @@ def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return fuzzylines.deduplicate(docs)
+    return fuzzylines.deduplicate(docs, least=1)
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
