@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import blocks, bpe, fuzzylines, linefreq, minhash, pii, secrets, tiling, toxicity, warc
+from stratalake.llm import (
+    blocks, bpe, fuzzylines, importance, linefreq, minhash, pii, pigeonring, secrets, tiling, toxicity, turntrie, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +96,26 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.extract(pages, blocks.fit(pages), joint="\n\n").select("page_id", "url", "text", "n_chars")
 
 
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document; fingerprints link at two differing bits."""
+    return pigeonring.clusters(table(spark, sf_dir, "documents"))
+
+
+def importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document against the benchmark's word features."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark")
+    gains = importance.bucket_gains(importance.bucket_counts(docs), importance.bucket_counts(target))
+    scored = importance.with_scores(importance.weigh(docs, gains).drop("text"))
+    return importance.draw(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie over all rebuilt conversations."""
+    turns = turntrie.rebuilt(table(spark, sf_dir, "conversations"))
+    return turntrie.nodes(turns)
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_frequency": line_frequency,
     "op2_byte_bpe": byte_bpe,
@@ -105,6 +127,9 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": personal_data,
     "op9_decontamination": decontamination,
     "op10_block_labeller": main_text,
+    "op11_pigeonring": simhash_groups,
+    "op12_importance": importance_draw,
+    "op13_prefix_trie": prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -112,4 +137,6 @@ ORACLES: dict[str, str] = {
     "op3_warc_revisits": warc.ORACLE,
     "op5_hyperminhash": minhash.ORACLE,
     "op8_personal_data": pii.oracle(),
+    "op12_importance": importance.ORACLE,
+    "op13_prefix_trie": turntrie.ORACLE,
 }
