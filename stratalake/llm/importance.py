@@ -262,7 +262,7 @@ def resample(
 
 #: The query over ``documents`` and ``benchmark`` for DuckDB, with the CRC bit by bit and byte by byte.
 ORACLE = r"""
-WITH crc AS (SELECT list(list_reduce(range(9), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+WITH crc AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
     FROM range(256) r(b)),
 w AS (SELECT 's' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents

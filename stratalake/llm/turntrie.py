@@ -106,7 +106,7 @@ def shards(sequences: DataFrame, size: int = SHARD) -> DataFrame:
     total = rows.agg(F.sum(F.size("sizes") + 1)).first()[0] or 0
     dealt = rows.repartitionByRange(max(1, -(-total // size)), "path", "conv_id")
     dealt.withColumn("shard", F.spark_partition_id()).write.parquet(f"{folder}/shards")
-    dealt = spark.read.schema(f"{rows._jdf.schema().toDDL()}, shard int").parquet(f"{folder}/shards")
+    dealt = spark.read.schema("conv_id long, path binary, sizes array<int>, shard int").parquet(f"{folder}/shards")
     ends = dealt.groupBy("shard").agg(F.min("path").alias("low"), F.max("path").alias("high"))
     order = Window.orderBy("shard")
     around = ends.select("shard", "low", "high", F.lag("high").over(order).alias("last"), F.lead("low").over(order).alias("next"))
@@ -331,7 +331,7 @@ def nodes(sequences: DataFrame, size: int = SHARD) -> DataFrame:
 
 #: The query over ``conversations`` for DuckDB; paths are joined digests, ancestors their prefixes.
 ORACLE = r"""
-WITH crc AS (SELECT list(list_reduce(range(9), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+WITH crc AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
     FROM range(256) r(b)),
 t AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token,
     length(coalesce(text, '')) AS size, turn FROM conversations WHERE conv_id IS NOT NULL),
