@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.session import scratch
+from stratalake.sources.files import delete_path
 
 #: Label tables of so many rows (two ids each) are broadcast; larger ones meet their edges in joins that Spark can split.
 SMALL = 100_000
@@ -16,7 +17,7 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", small: int =
 
     Each round a node takes the least label among its neighbours, then the label of its label. Neighbours are
     combined before the shuffle. Every round is stored in the shared folder, so a lost executor costs one round at
-    most. Edges with a null end are dropped; an empty table has no nodes.
+    most, and a round that nothing reads any more is deleted. Edges with a null end are dropped; an empty table has no nodes.
     """
     spark = edges.sparkSession
     folder = scratch(spark, "components")
@@ -31,7 +32,10 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", small: int =
     while True:
         labels.write.parquet(f"{folder}/{number}")
         labels = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            delete_path(spark, f"{folder}/{number - 1}")
         if labels.where("changed").isEmpty():
+            delete_path(spark, f"{folder}/edges")
             return labels.select("node", "label")
         few = few or (number == 0 and labels.count() <= small)
         known = F.broadcast(labels) if few else labels
