@@ -383,9 +383,16 @@ def _mixed(named: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
-    """One row of each group of near-duplicates, unchanged: those with the group's least id."""
-    dropped = clusters(docs, key, text, width).where("NOT kept").select(F.col("doc").alias("dropped")).distinct()
-    return docs.join(dropped, docs[key].eqNullSafe(dropped["dropped"]), "left_anti")
+    """One row of each group of near-duplicates, unchanged: those with the group's least id (null last), then text hash.
+
+    Rows are told apart by id and text, so different texts under one id, or without one, keep their rows; rows equal in
+    both are one document and stay or go together.
+    """
+    name = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.xxhash64(text).alias("mark"))
+    named = docs.select(name.alias("row"), F.col(text).alias("text"))
+    dropped = clusters(named, "row", "text", width).where("NOT kept").select(F.col("doc").alias("dropped")).distinct()
+    same = docs[key].eqNullSafe(F.col("dropped.id")) & (F.xxhash64(docs[text]) == F.col("dropped.mark"))
+    return docs.join(dropped, same, "left_anti")
 
 
 #: The query over ``documents`` for DuckDB: all pairs with a common window, and everything reachable.

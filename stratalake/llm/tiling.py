@@ -6,9 +6,10 @@ bitmap has a fixed size, and what it lets through wrongly is dropped by the join
 document and item with a common seed is then tiled: the longest common unmarked run is found by Karp-Rabin hashes
 and marked, again and again, until no run of ``min_match`` words is left. A common run of that length lies wholly
 under seeds, so tiling the kept words is tiling the whole text. A document is contaminated by an item of which the
-tiles cover at least ``coverage``; as tiles may lie anywhere, passages in another order are caught as well.
+tiles cover at least ``coverage``; as tiles may lie anywhere, passages in another order are caught as well. Where only
+that verdict counts, pairs whose common seeds cannot cover so much (each covers ``min_match`` words at most) are not tiled.
 
-Rows that share an id, null included, are one document. Null and empty texts are never contaminated; an item with
+Rows with one id (null included) and one text are one document; rows with one id and different texts are judged apart. Null and empty texts are never contaminated; an item with
 fewer than ``min_match`` words contaminates nothing; items with equal texts count once, under the smallest id.
 """
 
@@ -54,7 +55,7 @@ def item_words(benchmark: DataFrame, item: str, text: str, min_match: int) -> Da
 
 
 def seeded_words(docs: DataFrame, bitmap: bytes, key: str, text: str, min_match: int) -> DataFrame:
-    """Per row with a seed in the bitmap: ``doc``, its ``runs`` of words under such seeds, and those ``seeds``.
+    """Per row with a seed in the bitmap: ``doc``, ``mark`` (the text's hash), its ``runs`` of words under such seeds, and those ``seeds``.
 
     Runs are separated by a zero.
     """
@@ -63,8 +64,8 @@ def seeded_words(docs: DataFrame, bitmap: bytes, key: str, text: str, min_match:
 
     def run(batches):
         bits = np.frombuffer(shared.value, np.uint8)
-        for batch in (part for whole in batches for part in wordhash.slices(whole, 1)):
-            words, before = _words(batch.column(1))
+        for batch in (part for whole in batches for part in wordhash.slices(whole, 2)):
+            words, before = _words(batch.column(2))
             seeds, at = wordhash.windows(words, before, min_match)
             hit = bitmaps.contains(bits, seeds)
             seeds, at = seeds[hit], at[hit]
@@ -80,15 +81,20 @@ def seeded_words(docs: DataFrame, bitmap: bytes, key: str, text: str, min_match:
                     pieces += [words[group[0] : group[-1] + min_match], np.zeros(1, np.uint64)]
                 runs.append(np.concatenate(pieces).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array(runs, pa.list_(pa.int64())), _longs(seeds, bounds)],
-                names=["doc", "runs", "seeds"],
+                [*(batch.column(i).take(pa.array(rows)) for i in (0, 1)), pa.array(runs, pa.list_(pa.int64())), _longs(seeds, bounds)],
+                names=["doc", "mark", "runs", "seeds"],
             )
 
-    return docs.select(key, text).mapInArrow(run, f"doc {kind}, runs array<long>, seeds array<long>")
+    marked = docs.select(key, F.xxhash64(text), text)
+    return marked.mapInArrow(run, f"doc {kind}, mark long, runs array<long>, seeds array<long>")
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (start in item, start in doc, length), longest first, no word used twice."""
+    """Greedy string tiling: (start in item, start in doc, length), longest first, no word used twice.
+
+    Seeds that match at neighbouring places of both are one run, so runs are counted seed by seed: one step per seed of the
+    item, over the places in the document that it matches.
+    """
     item_free, doc_free = item != 0, doc != 0
     out: list[tuple[int, int, int]] = []
 
@@ -103,24 +109,24 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int,
         order = np.argsort(doc_hash, kind="stable")
         lows = np.searchsorted(doc_hash, item_hash, "left", sorter=order)
         highs = np.searchsorted(doc_hash, item_hash, "right", sorter=order)
-        longest, found = 0, []
-        for i, low, high in zip(item_at, lows, highs, strict=True):
-            for j in doc_at[order[low:high]]:
-                size = min(len(item) - i, len(doc) - j, max(longest, 64))
-                while True:
-                    same = (item[i : i + size] == doc[j : j + size]) & item_free[i : i + size] & doc_free[j : j + size]
-                    run = int(np.argmin(same)) if not same.all() else len(same)
-                    if run < size or size >= min(len(item) - i, len(doc) - j):
-                        break
-                    size *= 2
-                if run >= min_match and run > longest:
-                    longest, found = run, [(int(i), int(j))]
-                elif run >= min_match and run == longest:
-                    found.append((int(i), int(j)))
+        behind = np.zeros(len(doc) + 1, np.int64)  # seeds in a row that end before each place
+        last, previous = np.zeros(0, np.int64), -2
+        most, found = 0, []
+        for i, low, high in zip(item_at.tolist(), lows, highs, strict=True):
+            places = doc_at[order[low:high]]
+            seeds = (behind[places] if i == previous + 1 else 0) + np.ones(len(places), np.int64)
+            behind[last] = 0
+            last, previous = places + 1, i
+            behind[last] = seeds
+            if len(places) and seeds.max() >= most:
+                if seeds.max() > most:
+                    most, found = int(seeds.max()), []
+                found += [(i - most + 1, j - most + 1) for j in places[seeds == most].tolist()]
         if not found:
             return out
+        longest = most + min_match - 1
         for i, j in found:
-            if item_free[i : i + longest].all() and doc_free[j : j + longest].all():
+            if item_free[i] and item_free[i : i + longest].all() and doc_free[j : j + longest].all():
                 item_free[i : i + longest] = doc_free[j : j + longest] = False
                 out.append((i, j, longest))
 
@@ -131,16 +137,17 @@ def _tiled(pairs: DataFrame, min_match: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             covered = []
-            for runs, words in zip(batch.column(2), batch.column(3), strict=True):
+            for runs, words in zip(batch.column(3), batch.column(4), strict=True):
                 a = np.asarray(words.values.to_numpy(zero_copy_only=False), np.int64)
                 b = np.asarray(runs.values.to_numpy(zero_copy_only=False), np.int64)
                 covered.append(sum(n for _, _, n in tiles(a, b, min_match)) / len(a))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(covered, pa.float64())],
-                names=["doc", "item_id", "covered"],
+                [*(batch.column(i) for i in range(3)), pa.array(covered, pa.float64())],
+                names=["doc", "mark", "item_id", "covered"],
             )
 
-    return pairs.select("doc", "item_id", "runs", "words").mapInArrow(run, f"doc {doc}, item_id {item}, covered double")
+    chosen = pairs.select("doc", "mark", "item_id", "runs", "words")
+    return chosen.mapInArrow(run, f"doc {doc}, mark long, item_id {item}, covered double")
 
 
 def coverages(
@@ -151,30 +158,38 @@ def coverages(
     item: str = "item_id",
     item_text: str = "text",
     min_match: int = MIN_MATCH,
+    least: float = 0.0,
 ) -> DataFrame:
-    """``doc``, ``item_id``, ``covered``: the share of the item's words under tiles, for all with a common seed."""
+    """``doc``, ``mark``, ``item_id``, ``covered``: the share of the item's words under tiles, for all with a common seed.
+
+    Pairs that cannot cover ``least`` of the item are left out.
+    """
     spark = docs.sparkSession
     folder = scratch(spark, "tiling")
     item_words(benchmark, item, item_text, min_match).write.parquet(f"{folder}/items")
     items = spark.read.parquet(f"{folder}/items")
-    seeds = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
+    seeds = items.select("item_id", F.explode("seeds").alias("seed")).groupBy("item_id", "seed").agg(F.count(F.lit(1)).alias("times"))
     found = seeded_words(docs, bitmaps.build(seeds, "seed"), key, text, min_match)
     found.withColumn("part", F.monotonically_increasing_id()).write.parquet(f"{folder}/docs")
     seeded = spark.read.parquet(f"{folder}/docs")
     pairs = (
         seeded.select("part", F.explode(F.array_distinct("seeds")).alias("seed"))
         .join(seeds, "seed")
+        .groupBy("part", "item_id")
+        .agg(F.sum("times").alias("seen"))
+        .join(items.select("item_id", F.size("words").alias("n")), "item_id")
+        .where(F.col("seen") * min_match >= F.lit(least) * F.col("n"))
         .select("part", "item_id")
-        .distinct()
     )
     return _tiled(seeded.join(pairs, "part").join(items, "item_id"), min_match)
 
 
 def verdicts(covered: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """Per document with any tile: ``doc``, ``best_item`` (ties: the smallest), its ``best_coverage``, ``contaminated``."""
+    """Per document with any tile: ``doc``, ``mark``, ``best_item`` (ties: the smallest), its ``best_coverage``, ``contaminated``."""
     best: Column = F.min(F.struct((-F.col("covered")).alias("less"), "item_id"))
-    return covered.groupBy("doc").agg(best.alias("best")).select(
+    return covered.groupBy("doc", "mark").agg(best.alias("best")).select(
         "doc",
+        "mark",
         F.col("best.item_id").alias("best_item"),
         (-F.col("best.less")).alias("best_coverage"),
         (-F.col("best.less") >= coverage).alias("contaminated"),
@@ -184,7 +199,9 @@ def verdicts(covered: DataFrame, coverage: float = COVERAGE) -> DataFrame:
 def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", coverage: float = COVERAGE, **options) -> DataFrame:
     """Every row's id with ``best_item``, ``best_coverage`` (0 without a tile) and ``contaminated``."""
     found = verdicts(coverages(docs, benchmark, key, **options), coverage)
-    return docs.select(key).join(found, docs[key].eqNullSafe(found["doc"]), "left").select(
+    rows = docs.select(key, F.xxhash64(options.get("text", "text")).alias("_mark"))
+    same = rows[key].eqNullSafe(found["doc"]) & (rows["_mark"] == found["mark"])
+    return rows.join(found, same, "left").select(
         key,
         "best_item",
         F.coalesce("best_coverage", F.lit(0.0)).alias("best_coverage"),
@@ -195,5 +212,6 @@ def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", coverage:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, unchanged."""
     coverage = options.pop("coverage", COVERAGE)
-    bad = verdicts(coverages(docs, benchmark, key, **options), coverage).where("contaminated")
-    return docs.join(bad, docs[key].eqNullSafe(bad["doc"]), "left_anti")
+    bad = verdicts(coverages(docs, benchmark, key, least=coverage, **options), coverage).where("contaminated")
+    same = docs[key].eqNullSafe(bad["doc"]) & (F.xxhash64(docs[options.get("text", "text")]) == bad["mark"])
+    return docs.join(bad, same, "left_anti")

@@ -111,3 +111,12 @@ def test_rows_of_all_kinds(spark):
     left = minhash.deduplicate(table, width=4)
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 4, 5, 6, 6, 7, 8] and left.columns == table.columns
     assert minhash.clusters(table.limit(0)).count() == 0
+
+
+def test_different_texts_under_one_id_or_none_stay(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    rows = [(None, texts[0]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (7, texts[0].upper()), (8, texts[3]), (None, None), (3, "")]
+    left = minhash.deduplicate(docs(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left) == sorted(
+        (str(i), str(t)) for i, t in rows if (i, t) not in ((None, texts[0]), (8, texts[3]))
+    )

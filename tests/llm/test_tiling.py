@@ -65,12 +65,14 @@ def test_passages_in_any_order(spark):
     bench = spark.createDataFrame([(7, " ".join(item)), (3, " ".join(item)), (1, "too short"), (2, None), (4, "")], "item_id long, text string")
     got = tiling.judge(table, bench).collect()
     assert len(got) == len(rows)
-    by = {r["doc_id"]: (r["best_item"], round(r["best_coverage"], 3), r["contaminated"]) for r in got}
-    assert by[1] == (3, 1.0, True) and by[2] == (3, 1.0, True) and by[None] == (3, 1.0, True)
+    by = {r["doc_id"]: (r["best_item"], round(r["best_coverage"], 3), r["contaminated"]) for r in got if r["doc_id"] != 1}
+    # two texts under one id are judged apart
+    assert sorted((r["best_coverage"], r["contaminated"]) for r in got if r["doc_id"] == 1) == [(0.0, False), (1.0, True)]
+    assert by[2] == (3, 1.0, True) and by[None] == (3, 1.0, True)
     assert by[3] == (3, 0.95, True) and by[5] == (3, 0.3, False)
     assert all(by[i] == (None, 0.0, False) for i in (4, 6, 7, 8))
     left = tiling.decontaminate(table, bench)
-    assert sorted(r["doc_id"] for r in left.collect()) == [4, 5, 6, 7, 8] and left.columns == table.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 4, 5, 6, 7, 8] and left.columns == table.columns
     assert tiling.judge(table, bench.limit(0)).where("contaminated").count() == 0
     assert tiling.judge(table.limit(0), bench).count() == 0
 
@@ -84,3 +86,47 @@ def test_query_against_substring_search(spark, sf_dir):
     got = {r["doc_id"]: r for r in QUERIES["op9_decontamination"](spark, sf_dir).collect()}
     assert got.keys() == texts.keys() and whole
     assert {i for i, r in got.items() if r["best_coverage"] == 1.0} >= whole
+
+
+def test_items_of_all_lengths_inside_a_document():
+    rng = random.Random(8)
+    for size in (64, 65, 100, 128, 129, 1000):
+        item = [rng.randint(1, 10**6) for _ in range(size)]
+        doc = [rng.randint(1, 10**6) for _ in range(200)]
+        got = tiling.tiles(np.array(item, np.int64), np.array(doc[:100] + item + doc[100:], np.int64), 5)
+        assert got == [(0, 100, size)]
+        half = size // 2
+        got = tiling.tiles(np.array(item, np.int64), np.array(item[half:] + doc + item[:half], np.int64), 5)
+        assert sum(n for _, _, n in got) == size
+
+
+def test_repeated_words_and_very_long_documents():
+    rng = random.Random(9)
+    for item, doc in (([1] * 60, [1] * 150), ([1, 2] * 20, [2, 1] * 60), ([1] * 30 + [2] * 30, [2] * 40 + [1] * 70)):
+        got = tiling.tiles(np.array(item, np.int64), np.array(doc, np.int64), 5)
+        assert sum(n for _, _, n in got) == plain_tiles(item, doc, 5)
+    item = [rng.randint(1, 50) for _ in range(300)]
+    long = np.array([rng.randint(1, 50) for _ in range(100_000)] + item + [7] * 100_000, np.int64)
+    assert sum(n for _, _, n in tiling.tiles(np.array(item, np.int64), long, 5)) == 300
+    assert sum(n for _, _, n in tiling.tiles(np.full(1000, 7), long, 5)) == 1000
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(10)
+    item = " ".join(f"w{rng.randrange(5000)}" for _ in range(120))
+    clean = " ".join(f"z{rng.randrange(5000)}" for _ in range(120))
+    table = docs(spark, [(None, item), (None, clean), (None, None), (4, f"{clean} {item}"), (4, clean), (4, clean)])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = tiling.decontaminate(table, bench).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left) == [("4", clean)] * 2 + [("None", "None"), ("None", clean)]
+
+
+def test_pairs_that_cannot_cover_enough_are_not_tiled(spark):
+    rng = random.Random(11)
+    item = [f"w{rng.randrange(5000)}" for _ in range(50)]
+    table = docs(spark, [(i, " ".join(item[:n])) for i, n in enumerate((5, 9, 29, 30, 31, 50))])
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    every = {r["doc"]: r["covered"] for r in tiling.coverages(table, bench).collect()}
+    some = {r["doc"]: r["covered"] for r in tiling.coverages(table, bench, least=0.6).collect()}
+    assert every == {i: n / 50 for i, n in enumerate((5, 9, 29, 30, 31, 50))}
+    assert some.keys() < every.keys() and {i for i, c in every.items() if c >= 0.6} <= some.keys()
