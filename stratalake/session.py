@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,3 +47,12 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, so reruns never meet old files."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now instead of at its next periodic collection.
+
+    Only files that nothing can read any more go: Spark's cleaner follows references.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
