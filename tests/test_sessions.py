@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import sessions
+from stratalake.operators import folds, sessions
 
 SAMPLES = [
     "nao entendi", "e no Spark?", "o que e data warehouse?", "explica melhor", "", "  ", "???", "ok", "OK", "and then what happened next",
@@ -55,12 +55,46 @@ def test_followups_against_loop(spark):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "conv long, turn long, text string").repartition(4)
     expected = {(c, t): o for c, ms in talks.items() for t, o in enumerate(plain_fold(ms))}
-    for block in (7, 10_000):
-        got = sessions.bind_followups(df, "conv", "turn", "text", block=block).collect()
+    for made in (sessions.bind_followups(df, "conv", "turn", "text"), in_ranges(spark, 13, lambda: sessions.bind_followups(df, "conv", "turn", "text"))):
+        got = made.collect()
         assert {(r.conv, r.turn): (r.bound_query, r.followup) for r in got} == expected
         assert len(got) == len(rows)
 
 
+def in_ranges(spark, number, make):
+    """What ``make`` builds while rows are dealt out into so many ranges."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", number)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return make()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_one_run_spans_all_ranges(spark, monkeypatch):
+    """A run of short messages with sparse turn numbers, in which long ones that repeat the topic change it."""
+    rng = random.Random(18)
+    said = ["what is a data warehouse and what is it good for"] + [rng.choice(["ok", "and then?", "explica melhor", ""]) for _ in range(900)]
+    topic = ""
+    for i in range(len(said)):
+        if i in (300, 301, 640):
+            said[i] = "and " + topic + " once more, please, at length"
+        topic = plain_fold(said[: i + 1])[-1][0] or topic if i in (299, 300, 639) else topic
+    rows = [(1, t**3, m) for t, m in enumerate(said)] + [(None, 5, "ok"), (None, 9, "ok"), (2, 1, "explica melhor")]
+    df = spark.createDataFrame(rows, "conv long, turn long, text string").repartition(5)
+    expected = {(1, t**3): o for t, o in enumerate(plain_fold(said))}
+    expected |= {(None, 5): ("ok", False), (None, 9): ("ok", False), (2, 1): ("explica melhor", False)}
+    rounds = []
+    real = folds._exits
+    monkeypatch.setattr(folds, "_exits", lambda rows, entries, *rest: rounds.append(sorted(entries)) or real(rows, entries, *rest))
+    got = in_ranges(spark, 16, lambda: sessions.bind_followups(df, "conv", "turn", "text")).collect()
+    assert {(r.conv, r.turn): (r.bound_query, r.followup) for r in got} == expected
+    # many ranges hold the run, few rounds settle them, each with fewer of them
+    assert len(rounds[0]) > 10 and len(rounds) <= 7 and len(rounds[-1]) < len(rounds[0])
+
+
 def plain_likes(likes):
     held = []
     for like in likes:
@@ -80,9 +114,24 @@ def test_likes_against_loop(spark):
     rows += [(77, 10_000 + i, f"z{(i * i) % 11}") for i in range(1500)]
     df = spark.createDataFrame(rows, "u int, o long, l string").repartition(4)
     expected = {u: plain_likes([r[2] for r in sorted(rows, key=lambda r: r[1]) if r[0] == u]) for u in {r[0] for r in rows}}
-    for tail in (16, 64):
-        got = {r.u: r.likes for r in sessions.recent_likes(df, "u", "o", "l", tail).collect()}
-        assert got == expected
+    for made in (sessions.recent_likes(df, "u", "o", "l"), in_ranges(spark, 11, lambda: sessions.recent_likes(df, "u", "o", "l"))):
+        got = made.collect()
+        assert len(got) == len(expected) and {r.u: r.likes for r in got} == expected
+
+
+def test_histories_that_never_settle(spark, monkeypatch):
+    """Likes that cycle through nine and more values; where guesses do not help, one stream settles the rest."""
+    rng = random.Random(19)
+    cycles = [f"c{i % 9}" for i in range(700)] + [f"d{rng.randrange(10)}" for _ in range(700)]
+    rows = [(1, i, like) for i, like in enumerate(cycles)] + [(2, i, f"e{i % 12}") for i in range(400)] + [(0, 5, "only")]
+    df = spark.createDataFrame(rows, "u int, o long, l string").repartition(4)
+    expected = {u: plain_likes([r[2] for r in rows if r[0] == u]) for u in (0, 1, 2)}
+    for limit in (0, 1, 2, folds.ROUNDS):
+        real = folds.entry_states
+        with monkeypatch.context() as m:
+            m.setattr(folds, "entry_states", lambda *a, limit=limit, **k: real(*a, rounds=limit, **k))
+            made = in_ranges(spark, 14, lambda: sessions.recent_likes(df, "u", "o", "l"))
+        assert {r.u: r.likes for r in made.collect()} == expected
 
 
 def test_profiles(spark):
