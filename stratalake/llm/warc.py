@@ -70,7 +70,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.col("kind") == "response",
         F.struct("captured_at", "record_id", "digest", F.map_entries("headers").alias("entries")),
     )
-    before = Window.partitionBy("part", "canonical_url").orderBy("captured_at").rangeBetween(Window.unboundedPreceding, -1)
+    # times are numbers of any kind, so what is earlier is told by their order, not by a distance
+    by_url = Window.partitionBy("part", "canonical_url")
+    ranges = ranges.withColumn("moment", F.dense_rank().over(by_url.orderBy("captured_at")))
+    before = by_url.orderBy("moment").rangeBetween(Window.unboundedPreceding, -1)
     near = ranges.withColumn("near", F.max(response).over(before)).where("kind = 'revisit'")
     ends = ranges.groupBy("canonical_url", "part").agg(F.max(response).alias("latest"))
     # one row per URL and range

@@ -67,3 +67,12 @@ def test_repeated_revisits_repeat(spark):
     rows = [(1, "response", "a.com", 1, {"etag": "x"}, None), (2, "revisit", "a.com", 2, {"etag": "x"}, None), (2, "revisit", "a.com", 2, {"etag": "x"}, None)]
     got = warc.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [r["target_id"] for r in got] == [1, 1]
+
+
+def test_times_with_fractions(spark):
+    heads = {"etag": "x"}
+    rows = [(1, "response", "a.com", 1.2, heads, None), (2, "revisit", "a.com", 1.7, heads, None), (3, "revisit", "a.com", 1.2, heads, None),
+            (4, "response", "a.com", 1.65, heads, None), (5, "revisit", "a.com", 1.201, heads, None)]
+    table = spark.createDataFrame(rows, SCHEMA.replace("captured_at long", "captured_at double"))
+    got = {r["record_id"]: (r["target_id"], r["outcome"]) for r in warc.resolve_revisits(table).collect()}
+    assert got == {2: (4, "resolved"), 3: (None, "missing"), 5: (1, "resolved")}
