@@ -11,8 +11,9 @@ sidebars and reader comments around or inside the article. Without such pages a
 
 Null and empty pages have an empty text. Scripts, styles, comments and other invisible content are no blocks.
 Character references are decoded, white space in a block becomes one blank, and blocks without text do not count.
-Broken markup is read as browsers do: unclosed elements end with their parent, unclosed comments and tags with the
-page. Every row is labelled for itself; repeated rows repeat results, an input column with an output's name is
+Broken markup is read as browsers do: unclosed elements end with their parent, unclosed comments, tags and scripts with the
+page. Other elements without text (pictures, players, objects) that are closed at once, or never, hide nothing but themselves.
+Quotes only count after an equals sign. Formulas (``math``) are text. Every row is labelled for itself; repeated rows repeat results, an input column with an output's name is
 replaced.
 """
 
@@ -38,16 +39,19 @@ VARIANTS = 4
 PATH, WORDS, RATES, HIDDEN = 96, 24, 8, 24
 EPOCHS, BATCH, RATE = 8, 32, 0.01
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""", re.I)
 _NAME = re.compile("[a-z]+")
 
-#: Fixed values of HTML: elements whose content is no text, elements without content, inline elements.
-RAW = frozenset("script style noscript template svg iframe object canvas math textarea select datalist video audio".split())
+#: Fixed values of HTML: elements whose content is no text, those of them that go on to the end of a page that does not
+#: close them, elements without content, inline elements.
+RAW = frozenset("script style noscript template svg iframe object canvas textarea select datalist video audio annotation annotation-xml".split())
+ENDLESS = frozenset("script style iframe textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img input button".split()
+    "strike strong sub sup time tt u var wbr img input button "
+    "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mspace mtable mtr mtd semantics".split()
 )
 #: Elements that end an open element of the same group.
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -82,6 +86,7 @@ def cut(page: str) -> list[Block]:
                 state["linked"] += len(piece)
 
     at, size = 0, len(page)
+    never_closed: set[str] = set()
     while at < size:
         found = _TOKEN.search(page, at)
         if not found:
@@ -94,8 +99,14 @@ def cut(page: str) -> list[Block]:
             continue
         closing = bool(found[1])
         if name in RAW and not closing:
-            end = re.compile(f"</{name}\\b[^>]*(?:>|\\Z)", re.I).search(page, at)
-            at = end.end() if end else size
+            alone = name not in ENDLESS and (found[3].endswith("/") or name in never_closed)
+            end = None if alone else re.compile(f"</{name}\\b[^>]*(?:>|\\Z)", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif name in ENDLESS:
+                at = size
+            elif not alone:
+                never_closed.add(name)
         elif name == "br":
             add(" ")
         elif name == "a":
@@ -306,11 +317,12 @@ class Labeller:
         grads[f"c{d}"] = dz.sum((0, 1))
 
 
-#: Words in tags, classes and ids that stand for other things than the article.
+#: Words in tags, classes and ids that stand for other things than the article, and tags that do.
 OTHER = frozenset(
     "nav menu header footer aside sidebar form ad ads advert banner promo sponsor cookie consent notice comment comments "
-    "reply share social related breadcrumb newsletter subscribe login search head title".split()
+    "reply share social related breadcrumb newsletter subscribe login search".split()
 )
+OTHER_TAGS = OTHER | {"head", "title"}
 
 
 def teacher(blocks: list[Block]) -> np.ndarray | None:
@@ -320,7 +332,8 @@ def teacher(blocks: list[Block]) -> np.ndarray | None:
     out = []
     for b in blocks:
         names = {n.split(":")[-1] for e in b.path.split("/") for n in e.split()}
-        out.append("article" in names and not names & OTHER)
+        tags = {e.split()[0] for e in b.path.split("/") if e}
+        out.append("article" in names and not names & OTHER and not tags & OTHER_TAGS)
     return np.array(out, bool)
 
 

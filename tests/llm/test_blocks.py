@@ -18,6 +18,28 @@ def test_cuts_as_browsers_do():
     assert paths == ["div c:ad c:box i:x/p", "p"]
 
 
+def test_elements_without_text_hide_only_themselves():
+    for empty in ("<svg/>", "<svg width=1 />", "<object/>", "<video>", "<VIDEO src='a'>", "<canvas>", "<svg><path/></svg>", "<object data=x>no</object>"):
+        assert texts(f"<p>one</p>{empty}<p>two</p>") == ["one", "two"], empty
+        assert texts(f"<p>one{empty}</p>{empty}<p>two</p>") == ["one", "two"], empty
+    assert texts("<p>let <math><semantics><mi>x</mi><annotation>$x$</annotation></semantics></math> be</p>") == ["let x be"]
+    many = "<video>" * 20_000 + "<p>end</p>"
+    assert texts(many) == ["end"]
+
+
+def test_quotes_count_after_an_equals_sign():
+    assert texts("<p title=it's>a</p><p>b's</p>") == ["a", "b's"]
+    assert texts("<p it's>a</p>") == ["a"] and texts("<p a = 'x>y' b=\"c>'d\">z") == ["z"]
+    assert texts('<p title="open>a</p>') == ["a"]
+    assert [b.path for b in blocks.cut("<p class=it's>a</p>")] == ["p c:it c:s"]
+
+
+def test_headings_are_labelled_as_article():
+    page = "<head><title>t</title></head><article><h1 class=title>h</h1><div class='head'>s</div><p>x</p><div class=share>y</div></article>"
+    assert [b.text for b in blocks.cut(page)] == ["t", "h", "s", "x", "y"]
+    assert blocks.teacher(blocks.cut(page)).tolist() == [False, True, True, True, False]
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(1)
     model = blocks.Labeller.fresh()
