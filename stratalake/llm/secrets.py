@@ -3,10 +3,13 @@ r"""Secrets: fixed patterns, and random strings told by how badly a vocabulary c
 Base kinds: ``assign`` (a keyword, a colon or equals sign, and a value of 8 characters or more), ``access`` (an access
 key id of 16 characters or more) and ``hex`` (32 hexadecimal digits or more). They always stay.
 
-``random`` adds runs of 20 key characters or more with letters and digits, outside base spans, that a byte-level BPE
-vocabulary cuts into tokens of fewer than ``RATIO`` characters on average: words and names compress well, random
-strings do not. Known digests (hexadecimal of the usual lengths, UUIDs) and identifiers (words, numbers and version
-parts joined by underscores, hyphens, dots or case) are left out before.
+``random`` adds strings of ``LEAST`` key characters or more, outside base spans, that a byte-level BPE vocabulary cuts into
+tokens of fewer than ``RATIO`` characters on average: words and names compress well, random strings do not. Runs are cut
+at equals signs and slashes first, so that a name or path beside a key neither hides it nor is taken along; neighbours
+between slashes that are random too (a slash inside a key) join it. Strings of fewer than ``LONG`` characters or of letters alone must
+not exceed ``STRICT``; the latter hold no hyphens or underscores, and capitals alone are measured in lower case as well. Known digests
+(hexadecimal of the usual lengths, UUIDs), numbers, times and identifiers (words, numbers and version parts joined by
+underscores, hyphens or case) are left out before.
 
 Spans are code points, the end is past the last one, and come by start, then kind. Row-local: no shuffle. A null
 text counts as empty and has no spans; repeated rows repeat results; an input column with the output's name is
@@ -29,6 +32,9 @@ BASE = KINDS[:3]
 
 #: Characters per token below which a string counts as random.
 RATIO = 2.2
+#: The same for strings of fewer than LONG characters, and for those without digits, where words would be caught.
+STRICT = 1.85
+LEAST, LONG = 16, 20
 
 #: The patterns of the base kinds.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -36,9 +42,11 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-DIGESTS = (32, 40, 48, 56, 64, 96, 128)
+DIGESTS = (16, 32, 40, 48, 56, 64, 96, 128)
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+_RUN = re.compile(f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}")
+_PIECE = re.compile("[^/=]+")
+_LETTERS = re.compile(f"[A-Za-z]{{{LEAST},}}")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _PART = re.compile(r"[A-Za-z]*[0-9]{0,4}|[0-9]+")
 _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
@@ -60,8 +68,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def known(run: str) -> bool:
-    """Digests and identifiers."""
-    if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run):
+    """Digests, numbers, times and identifiers; strings without digits are none of them."""
+    if not re.search("[0-9]", run):
+        return False
+    if sum(c.isalpha() for c in run) < 4:
         return True
     if _UUID.fullmatch(run) or (len(run) in DIGESTS and re.fullmatch("[0-9a-fA-F]+", run)):
         return True
@@ -69,6 +79,43 @@ def known(run: str) -> bool:
     return all(_PART.fullmatch(p) and (len(p) > 3 or p.isdigit()) for p in parts)
 
 
+def _random_parts(run: str, tokens) -> list[tuple[int, int, float]]:
+    """(start, stop, characters per token) of the random strings of a run without base spans."""
+
+    def ratio(value: str) -> float:
+        most = len(value) / max(1, tokens(value))
+        return max(most, len(value) / max(1, tokens(value.lower()))) if value.isupper() else most
+
+    found: list[tuple[int, int, float]] = []
+    for piece in _PIECE.finditer(run):
+        value = piece[0]
+        if not re.search("[0-9]", value):
+            for m in _LETTERS.finditer(value):
+                if (r := ratio(m[0])) <= STRICT:
+                    found.append((piece.start() + m.start(), piece.start() + m.end(), r))
+        elif len(value) >= LEAST and not known(value):
+            r = ratio(value)
+            if r < RATIO and (len(value) >= LONG or r <= STRICT):
+                found.append((*piece.span(), r))
+    out: list[tuple[int, int, float]] = []
+    for start, stop, r in found:
+        low, high = start, stop
+        while low and run[low - 1] == "/" and (m := re.search("[^/=]+$", run[: low - 1])) and _mixed(m[0]) and ratio(m[0]) <= STRICT:
+            low = m.start()
+        while high < len(run) and run[high] == "/" and (m := _PIECE.match(run, high + 1)) and _mixed(m[0]) and ratio(m[0]) <= STRICT:
+            high = m.end()
+        if out and low < out[-1][1]:
+            low = out[-1][0]
+            out.pop()
+        out.append((low, high, r if (low, high) == (start, stop) else ratio(run[low:high])))
+    return out
+
+
+def _mixed(piece: str) -> bool:
+    """Whether a short piece between slashes may be part of a key: two kinds of characters or more."""
+    return len(piece) >= 4 and sum(bool(re.search(k, piece)) for k in ("[a-z]", "[A-Z]", "[0-9]")) > 1
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], tokens) -> list[tuple[int, int, int, float]]:
     """(start, kind, stop, characters per token) of strings that ``tokens`` cuts small, outside base spans."""
     out = []
@@ -83,11 +130,7 @@ def random_spans(text: str, base: list[tuple[int, int, int]], tokens) -> list[tu
         after = bisect.bisect_left(merged, [stop])
         if after and merged[after - 1][1] > start:
             continue
-        run = match[0]
-        if not known(run):
-            ratio = len(run) / max(1, tokens(run))
-            if ratio < RATIO:
-                out.append((start, 3, stop, ratio))
+        out += [(start + a, 3, start + b, r) for a, b, r in _random_parts(match[0], tokens)]
     return out
 
 

@@ -1,10 +1,13 @@
 """Secrets and personal data."""
 
+import base64
 import random
 import re
+import string
 
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from helpers import docs
@@ -52,7 +55,7 @@ def test_base_secrets():
 
 def test_random_strings_but_not_names():
     assert secrets.known("d41d8cd98f00b204e9800998ecf8427e") and secrets.known("123e4567-e89b-12d3-a456-426614174000")
-    assert secrets.known("internationalization") and secrets.known("release_candidate_2024_windows")
+    assert secrets.known("release_candidate_2024_windows") and secrets.known("2024-01-15T10-30-00Z") and secrets.known("4803080219925719")
     assert not secrets.known("aB3xK9qLm2Zp7Rt5Vw8Yd")
 
 
@@ -61,6 +64,40 @@ def ranks():
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@pytest.fixture(scope="module")
+def tokens(ranks):
+    table = {base64.b64decode(a): int(b) for a, b in (x.split() for x in ranks.splitlines() if x.strip())}
+    vocabulary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    return lambda value: len(vocabulary.encode_ordinary(value))
+
+
+def test_random_strings_are_found(tokens):
+    rng = random.Random(8)
+    kinds = {"letters": string.ascii_letters, "capitals": string.ascii_uppercase, "small": string.ascii_lowercase,
+             "base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/"}
+    for kind, alphabet in kinds.items():
+        for size in (16, 18, 20, 32, 40):
+            if kind == "base64" and size < 32:
+                continue
+            hits = 0
+            for _ in range(400):
+                key = "".join(rng.choices(alphabet, k=size))
+                text = f"the key {key}, id={key} /h/a/{key}/words"
+                found = secrets.random_spans(text, [], tokens)
+                hits += len(found) == 3 and all(b - a >= 0.4 * size and text[a:b] in key for a, _, b, _ in found)
+            print(kind, size, hits / 400)
+            # one case alone: 16 characters in eight tokens are words as often
+            assert hits >= (0.8 if kind in ("small", "capitals") else 0.9) * 400, (kind, size, hits)
+
+
+def test_words_and_identifiers_are_not_random(tokens):
+    words = """internationalization misunderstanding getElementsByTagName AbstractSingletonProxyFactoryBean counterrevolutionary
+    electroencephalograph max_connections_per_host my-long-css-class-name HTTPServerRequestHandler Rechtsschutzversicherung
+    THIS_IS_A_CONSTANT_NAME CONSTITUTIONALLY configuration_manager_v2 2024-01-15T10-30-00Z 0123456789012345678901
+    /usr/local/lib/python/site-packages/pandas 123e4567-e89b-12d3-a456-426614174000 d41d8cd98f00b204"""
+    assert secrets.random_spans(words, [], tokens) == []
+
+
 def test_secret_rows_of_all_kinds(spark, ranks):
     odd = "key aB3xK9qLm2Zp7Rt5Vw8Yd and token: aB3xK9qLm2Zp7Rt5Vw8Yd"
     rows = [(1, None), (2, ""), (None, odd), (3, "é " * 50000 + "password=12345678"), (4, "plain words only"), (4, "plain words only")]
