@@ -1,8 +1,11 @@
 """Keyword, vector and hybrid top-k for a table of queries over a table of chunks.
 
-A query must be compared with every chunk, but the pairs never become rows. Queries and
-chunks are cut into blocks of bounded size that meet group by group; a group keeps the best
-few per query, so only ``k`` rows per query and block reach the shuffle that picks the winners.
+Query and chunk pairs never become rows. Queries and chunks are cut into blocks of bounded
+size that meet group by group; a group keeps the best few per query, so only ``k`` rows per
+query and block reach the shuffle that picks the winners.
+
+For keywords that is one walk over the chunks while the queries fit one block, which no index
+can beat; more queries go through the token index (``tokenindex``), whose work grows with hits.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stratalake.functions.embedding import DIMENSIONS, hash_vectors, hashed_vector, words_of
+from stratalake.operators import tokenindex
 
 TOP_K = 4
 MAX_QUERIES = 4096
@@ -56,7 +60,7 @@ def keyword_scorer(queries: pd.DataFrame) -> Scorer:
         owners: list[int] = []
         cells = zip(chunks["title"], chunks["text"], chunks["source_id"])
         for column, (title, text, source) in enumerate(cells):
-            found = tokens_in(f"{title} {text} {source}".lower())
+            found = tokens_in(f"{title or ''} {text or ''} {source or ''}".lower())
             hits.extend(found)
             owners.extend([column] * len(found))
         token = np.array(hits, dtype=np.int64)
@@ -253,10 +257,24 @@ def _asked(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"))
 
 
-def keyword_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, **bounds: int) -> DataFrame:
-    """Queries (query_id, query) over chunks with title, text and source_id."""
+def _one_block(asked: DataFrame, max_queries: int, max_bytes: int) -> bool:
+    """Whether the queries fit one block of a walk; at most one row more than that is read."""
+    size = F.coalesce(F.sum(F.octet_length("query")), F.lit(0)).alias("bytes")
+    found = asked.limit(max_queries + 1).agg(F.count(F.lit(1)).alias("rows"), size).first()
+    return found["rows"] <= max_queries and found["bytes"] <= max_bytes
+
+
+def keyword_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES, max_chunks: int = CHUNKS_PER_BLOCK) -> DataFrame:
+    """Queries (query_id, query) over chunks with title, text and source_id.
+
+    Up to ``max_queries`` queries of ``max_bytes`` in all are answered by one walk over the chunks, more by the
+    token index. Both ways give the same rows.
+    """
+    asked = _asked(queries)
+    if not _one_block(asked, max_queries, max_bytes):
+        return tokenindex.keyword_top_k(asked, chunks, ties, carry, k)
     lists = {"keyword": keyword_scorer}
-    return top_k(_asked(queries), chunks, lists, _KEYWORD_NEEDS, ties, carry, k, **bounds).drop("list")
+    return top_k(asked, chunks, lists, _KEYWORD_NEEDS, ties, carry, k, max_queries, max_bytes, max_chunks).drop("list")
 
 
 def vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, **bounds: int) -> DataFrame:
@@ -272,7 +290,7 @@ def text_vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str]
     return top_k(_asked(queries), chunks, lists, ("text",), ties, carry, k, **bounds).drop("list")
 
 
-def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, constant: int = 60, stored: bool = False, **bounds: int) -> DataFrame:
+def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, constant: int = 60, stored: bool = False, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES, max_chunks: int = CHUNKS_PER_BLOCK) -> DataFrame:
     """Keyword and vector lists joined by reciprocal rank: a hit adds 1 / (constant + rank).
 
     With ``stored`` the vectors of both sides are columns; otherwise texts are hashed on the spot.
@@ -284,7 +302,13 @@ def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], car
         needs = (*needs, "vector")
     else:
         lists = {"keyword": keyword_scorer, "vector": text_scorer(dimensions)}
-    hits = top_k(asked, chunks, lists, needs, ties, carry, k, **bounds)
+    bounds = (max_queries, max_bytes, max_chunks)
+    if _one_block(asked, max_queries, max_bytes):
+        hits = top_k(asked, chunks, lists, needs, ties, carry, k, *bounds)
+    else:
+        by_vector = top_k(asked, chunks, {"vector": lists["vector"]}, needs, ties, carry, k, *bounds)
+        by_words = tokenindex.keyword_top_k(asked, chunks, ties, carry, k)
+        hits = by_vector.unionByName(by_words.withColumn("list", F.lit("keyword")))
     keys = list(dict.fromkeys(["query_id", *carry, *ties]))
     part = F.sum(F.lit(1.0) / (F.col("rank") + constant))
     return _ranked(hits.groupBy(*keys).agg(F.round(part, 12).alias("score")), ties, k)

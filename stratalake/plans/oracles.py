@@ -534,6 +534,7 @@ ORACLES: dict[str, str] = {
         WITH c AS ({_bucket_counts("documents", "doc_id", "text")})
         SELECT doc_id, CAST(bucket AS INTEGER) AS dimension, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 9) AS weight FROM c""",
     "keyword_topk": f"WITH {_KEYWORD} SELECT {_COLS} FROM kw",
+    "keyword_index_topk": f"WITH {_KEYWORD} SELECT {_COLS} FROM kw",
     "vector_topk": """
         WITH x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
         q AS (SELECT label AS query_id, pos, avg(v) AS v FROM x GROUP BY label, pos),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from stratalake.functions import payload
 from stratalake.functions import text as tx
 from stratalake.functions.embedding import hash_vectors
-from stratalake.operators import cards, generate, history, metrics, normalize, quality, retrieval, sessions
+from stratalake.operators import cards, generate, history, metrics, normalize, quality, retrieval, sessions, tokenindex
 from stratalake.operators.chunking import chunk_defaults, chunk_texts, split_pages
 from stratalake.plans import flows
 from stratalake.session import scratch
@@ -738,6 +738,12 @@ def keyword_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(retrieval.keyword_top_k(benchmark_queries(spark, sf_dir), chunks, ["doc_id"]))
 
 
+def keyword_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search through the token index, which large query tables take."""
+    chunks = document_chunks(spark, sf_dir)
+    return _scored(tokenindex.keyword_top_k(benchmark_queries(spark, sf_dir), chunks, ["doc_id"], ["id"], retrieval.TOP_K))
+
+
 def label_means(e: DataFrame) -> DataFrame:
     return (
         e.select("label", F.posexplode("embedding").alias("pos", "x"))
@@ -1014,7 +1020,7 @@ QUERIES: dict[str, Query] = {
         customers_by_nation, bi_join, seed_customers, seed_sellers, seed_orders, seed_items,
         seed_payments, seed_reviews, page_cut, required_fields, llm_json_extract, route_extract,
         prompt_fingerprint, storage_uris, chunk_documents, chunk_pages, page_split,
-        chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, vector_topk,
+        chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, keyword_index_topk, vector_topk,
         vector_topk_gaps, text_vector_topk, hybrid_topk, hybrid_stored_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
         notes, retrieval_eval, eval_pass_rate, prompt_context, followup_binding, last_turn,
         preference_profile, preference_profile_few, trace_summary, last_trace, stream_dedupe,

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.functions.embedding import hash_vectors
-from stratalake.operators import cards, retrieval
+from stratalake.functions.embedding import hash_vectors, words_of
+from stratalake.operators import cards, retrieval, tokenindex
 from stratalake.operators.chunking import chunk_texts
 from stratalake.sources import sinks
 from tests.test_chunking import FIXTURE
@@ -48,19 +48,79 @@ def as_set(df):
     return {(r.query_id, r.id, r.rank, round(r.score, 9)) for r in df.collect()}
 
 
-def test_keyword_against_loop(spark, monkeypatch):
+@pytest.mark.parametrize("common", [0, 5, 40, 1000])
+def test_index_against_loop(spark, common):
+    """From every word common to every word rare, the rows are those of the loop over all pairs."""
+    chunks, cdf = corpus(spark)
+    queries, qdf = asked(spark)
+    for k in (1, 4):
+        got = as_set(tokenindex.keyword_top_k(qdf, cdf, ["ord"], ["id"], k, common))
+        assert got == plain_keyword(queries, chunks, k)
+
+
+def test_walk_and_index_agree(spark, monkeypatch):
     chunks, cdf = corpus(spark)
     queries, qdf = asked(spark)
     expected = plain_keyword(queries, chunks, 4)
-    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"])) == expected
-    # Too many queries for one block: the blocked way gives the same rows.
-    blocked = retrieval.keyword_top_k(qdf, cdf, ["ord"], max_queries=7)
-    assert "FlatMapCoGroups" in blocked._jdf.queryExecution().executedPlan().toString()
-    assert as_set(blocked) == expected
-    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"], max_bytes=100)) == expected
-    monkeypatch.setattr(retrieval, "CHUNKS_PER_BLOCK", 30)
+    walk = retrieval.keyword_top_k(qdf, cdf, ["ord"])
+    assert "FlatMapCoGroups" in walk._jdf.queryExecution().executedPlan().toString()
+    assert as_set(walk) == expected
     monkeypatch.setattr(retrieval, "PARTS_PER_BLOCK", 1)
-    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"], max_queries=4)) == expected
+    assert as_set(retrieval.keyword_top_k(qdf, cdf, ["ord"], max_chunks=30)) == expected
+    # Too many queries, or too long ones, for one walk.
+    for bounds in ({"max_queries": 7}, {"max_bytes": 100}):
+        index = retrieval.keyword_top_k(qdf, cdf, ["ord"], **bounds)
+        assert "FlatMapCoGroups" not in index._jdf.queryExecution().executedPlan().toString()
+        assert as_set(index) == expected and index.columns == walk.columns
+
+
+def test_words_are_cut_as_in_the_embedding(spark):
+    texts = ["A/bcd  ÉTÉ\u00a0Straße\u3000ab abc\x1cdef", "", None, "\t\n", "ΟΔΟΣ x😀y 😀😀😀", "naïve\x85word"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for row in df.select("i", tokenindex.words(F.col("t")).alias("w")).collect():
+        assert sorted(row.w) == sorted(set(words_of(texts[row.i])))
+
+
+def test_containing_against_loop(spark):
+    rng = random.Random(5)
+    vocabulary = sorted({"".join(rng.choice("ab😀é.") for _ in range(rng.randint(3, 9))) for _ in range(300)})
+    tokens = sorted({"".join(rng.choice("ab😀é.") for _ in range(rng.randint(3, 5))) for _ in range(60)} | {"zzz"})
+    v = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    t = spark.createDataFrame([(w,) for w in tokens], "token string")
+    got = sorted((r.token, r.word) for r in tokenindex.containing(t, v).collect())
+    assert got == sorted((t, w) for t in tokens for w in vocabulary if t in w)
+
+
+def test_keyword_edges(spark):
+    """Null and empty cells, a word of half a million characters, repeated queries, an empty table."""
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdefghij") for _ in range(500_000))
+    rows = [(1, None, None, None), (2, "", "alpha", ""), (3, None, long, "x"), (4, "Alphabet", None, None)]
+    cdf = spark.createDataFrame(rows, "ord long, title string, text string, source_id string")
+    cdf = cdf.withColumn("id", F.col("ord").cast("string")).withColumn("word", F.lit("clash")).withColumn("chunk", F.lit(1))
+    asked_rows = [(1, "alpha"), (2, "alpha ALPHA"), (3, None), (4, ""), (5, long[1000:1040]), (6, long), (7, "none")]
+    qdf = spark.createDataFrame(asked_rows, "query_id long, query string")
+    ways = [tokenindex.keyword_top_k(qdf, cdf, ["ord"], ["id"], 4, common) for common in (0, 1000)]
+    for way in [*ways, retrieval.keyword_top_k(qdf, cdf, ["ord"])]:
+        got = {(r.query_id, r.id, r.rank) for r in way.collect()}
+        assert got == {(1, "2", 1), (1, "4", 2), (2, "2", 1), (2, "4", 2), (5, "3", 1), (6, "3", 1)}
+    assert tokenindex.keyword_top_k(qdf, cdf.limit(0), ["ord"], ["id"], 4).count() == 0
+
+
+def test_scored_pairs_grow_with_hits(spark):
+    """A word of every chunk and query makes one class, and rare words meet their chunks only."""
+    chunks = spark.range(3000).select(
+        F.col("id").alias("ord"), F.lit("").alias("title"), F.concat(F.lit("everywhere word"), F.col("id")).alias("text"), F.lit("").alias("source_id")
+    )
+    queries = [(i, f"everywhere word{i}") for i in range(1000, 1200)]
+    qdf = spark.createDataFrame(queries, "query_id long, query string")
+    held = tokenindex.postings(chunks, ["ord"])
+    best = tokenindex.search(qdf, held, 2)
+    got = {(r.query_id, r.chunk.ord, r["rank"], r.score) for r in best.collect()}
+    assert got == {(i, i, 1, 1.0) for i, _ in queries} | {(i, 0, 2, 0.5) for i, _ in queries}
+    tokens = qdf.select(F.explode(tokenindex.words(F.col("query"))).alias("token")).distinct()
+    sizes = tokenindex.hits(tokens, held).groupBy("token").count()
+    assert sizes.agg(F.sum("count")).first()[0] == 3000 + len(queries)
 
 
 def test_plain_search_equals_one_walk():
@@ -111,6 +171,8 @@ def test_hybrid_adds_both_lists(spark):
             pool[key] = pool.get(key, 0) + 1 / (60 + rank)
     for r in retrieval.hybrid_top_k(qdf, cdf, ["ord"]).collect():
         assert r.score == pytest.approx(pool[r.query_id, r.id])
+    apart = retrieval.hybrid_top_k(qdf, cdf, ["ord"], max_queries=5)
+    assert as_set(apart) == as_set(retrieval.hybrid_top_k(qdf, cdf, ["ord"]))
     assert len(pool) >= retrieval.hybrid_top_k(qdf, cdf, ["ord"]).count() > 0
 
 
