@@ -159,21 +159,41 @@ class FilterRule:
     value: str
 
 
+def known_rules(frames: Mapping[str, DataFrame], rules: Mapping[str, Sequence[FilterRule]]) -> dict[str, Sequence[FilterRule]]:
+    """The rules whose table is there; others are skipped with a warning."""
+    for table in rules:
+        if table not in frames:
+            log.warning("filter skipped: no table %s", table)
+    return {table: found for table, found in rules.items() if table in frames}
+
+
 def apply_filters(
     frames: Mapping[str, DataFrame], rules: Mapping[str, Sequence[FilterRule]]
 ) -> dict[str, DataFrame]:
     """One filtered frame per rule; rules on unknown tables are skipped with a warning."""
     out: dict[str, DataFrame] = {}
-    for table, table_rules in rules.items():
-        if table not in frames:
-            log.warning("filter skipped: no table %s", table)
-            continue
+    for table, table_rules in known_rules(frames, rules).items():
         for rule in table_rules:
             cell = strip(F.col(rule.column).cast("string"))
             out[rule.output] = frames[table].where(cell == rule.value.strip())
     return out
 
 
+#: Position of the rule a row matched.
+RULE = "_rule"
+
+
+def match_rules(df: DataFrame, rules: Sequence[FilterRule]) -> DataFrame:
+    """Every row once per rule it matches, with the rule's position in ``_rule``: one scan for all rules."""
+    if RULE in df.columns:
+        raise ValueError(f"the table has a column {RULE} of its own")
+    hits = [
+        F.when(strip(F.col(rule.column).cast("string")) == rule.value.strip(), F.lit(place))
+        for place, rule in enumerate(rules)
+    ]
+    return df.withColumn(RULE, F.explode(F.array_compact(F.array(*hits) if hits else F.array().cast("array<int>"))))
+
+
 def current_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_current"))
 

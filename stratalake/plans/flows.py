@@ -15,10 +15,10 @@ from stratalake.operators.history import current_versions, flag_current, last_wi
 from stratalake.operators.metrics import order_kpis
 from stratalake.operators.normalize import (
     FilterRule,
-    apply_filters,
     current_rows,
     entity_bronze,
     export_rows,
+    known_rules,
     orders_bronze,
     with_partition_keys,
 )
@@ -136,7 +136,9 @@ def run_shop(
         spark, list(frames), lambda n: sinks.write_parquet(frames[n], f"{processing}/{n}")
     )
     stored = {n: spark.read.parquet(f"{processing}/{n}") for n in frames}
-    filtered = sinks.write_filtered(apply_filters(stored, rules), processing, curated)
+    filtered: dict[str, int] = {}
+    for name, table_rules in known_rules(stored, rules).items():
+        filtered |= sinks.write_matched(stored[name], table_rules, processing, curated)
     out: dict[str, object] = {"processing": copied, "filtered": filtered}
     if database:
         parquet = {n: f"{processing}/{n}" for n in [*tables, *filtered]}

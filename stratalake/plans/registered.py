@@ -224,22 +224,19 @@ def filter_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = table(spark, sf_dir, "customer").withColumn(
         "c_mktsegment", F.concat(F.lit(" "), F.col("c_mktsegment"))
     )
-    kept = normalize.apply_filters({"customer": padded}, rules)
-    parts = [
-        df.select(F.lit(name).alias("output"), "c_custkey", "c_mktsegment") for name, df in kept.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    found = normalize.known_rules({"customer": padded}, rules)["customer"]
+    names = F.array(*[F.lit(rule.output) for rule in found])
+    kept = normalize.match_rules(padded, found)
+    return kept.select(names[F.col(normalize.RULE)].alias("output"), "c_custkey", "c_mktsegment")
 
 
 def filter_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filtered suppliers and customers written as Parquet and CSV; the CSV rows counted again."""
-    frames = {
-        "customer_BUILDING": table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"),
-        "customer_NONE": table(spark, sf_dir, "customer").where("c_mktsegment = 'NONE'"),
-    }
+    """Customers of two segments written as Parquet and CSV in one scan; the CSV rows counted again."""
+    customers = table(spark, sf_dir, "customer")
+    rules = [normalize.FilterRule(f"customer_{name}", "c_mktsegment", name) for name in ("BUILDING", "NONE")]
     root = scratch(spark, "filtered")
-    counts = sinks.write_filtered(frames, f"{root}/processing", f"{root}/curated")
-    again = {n: files.read_csv(spark, f"{root}/curated/{n}", df.columns) for n, df in frames.items()}
+    counts = sinks.write_matched(customers, rules, f"{root}/processing", f"{root}/curated")
+    again = {n: files.read_csv(spark, f"{root}/curated/{n}", customers.columns) for n in counts}
     written = spark.createDataFrame(list(counts.items()), "table_name string, written bigint")
     return files.row_counts(again).join(written, "table_name")
 

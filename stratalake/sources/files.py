@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -183,15 +184,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def move_path(spark: SparkSession, source: str, target: str) -> None:
-    """Puts a finished folder in the place of another on the same file system."""
+    """Puts a finished folder in the place of another on the same file system.
+
+    The other is set aside first and deleted last, so a crash on the way loses neither; if the move fails it is put back.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs
     old, new = hadoop.Path(source), hadoop.Path(target)
+    aside = hadoop.Path(f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex}")
     system = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(new, True)
+    if not system.exists(old):
+        raise OSError(f"cannot move {source} to {target}: it is not there")
     if new.getParent() is not None:
         system.mkdirs(new.getParent())
+    had = system.exists(new)
+    if had and not system.rename(new, aside):
+        raise OSError(f"cannot set {target} aside")
     if not system.rename(old, new):
+        if had:
+            system.rename(aside, new)
         raise OSError(f"cannot move {source} to {target}")
+    if had:
+        system.delete(aside, True)
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Paged service reads: one Spark task per page, then a cut at the first short page."""
+"""Paged service reads: waves of pages, one Spark task per page, up to the first short page."""
 
 from __future__ import annotations
 
@@ -52,6 +52,7 @@ class PagedReader(DataSourceReader):
         self.per_page = int(options.get("per_page", 50))
         if "max_pages" not in options:
             raise ValueError("max_pages must be given: pages beyond it are not read")
+        self.first_page = int(options.get("first_page", 1))
         self.max_pages = int(options["max_pages"])
         self.timeout = float(options.get("timeout", 30))
         self.attempts = int(options.get("retry_attempts", 3))
@@ -61,7 +62,7 @@ class PagedReader(DataSourceReader):
         }
 
     def partitions(self):
-        return [Page(number) for number in range(1, self.max_pages + 1)]
+        return [Page(number) for number in range(self.first_page, self.max_pages + 1)]
 
     def page_url(self, page: int) -> str:
         if "{page}" in self.url:
@@ -91,20 +92,32 @@ class PagedSource(DataSource):
         return PagedReader(self.options)
 
 
-def read_pages(spark: SparkSession, url: str, per_page: int, max_pages: int, **options: object) -> DataFrame:
+def read_pages(spark: SparkSession, url: str, per_page: int, max_pages: int, wave: int | None = None, **options: object) -> DataFrame:
     """All records up to the first short page. ``url`` may hold ``{page}``; ``None`` options are left out.
 
-    The pull is stored first, so every page is fetched once and the cut judges the very rows it returns.
+    Pages are fetched in waves of ``wave`` (as many as tasks run at once, unless given); the pull ends with the wave
+    that holds a short page, so at most one wave is asked for beyond it. Waves are stored, so every page is fetched
+    once and the cut judges the very rows it returns.
     """
     spark.dataSource.register(PagedSource)
-    reader = spark.read.format("paged_json").option("url", url)
-    reader = reader.option("per_page", per_page).option("max_pages", max_pages)
-    for key, value in options.items():
-        if value is not None:
-            reader = reader.option(key, str(value))
-    path = scratch(spark, "pages")
-    reader.load().write.parquet(path)
-    return cut_pages(spark.read.schema("page int, position int, record string").parquet(path), per_page, max_pages)
+    schema = "page int, position int, record string"
+    step = spark.sparkContext.defaultParallelism if wave is None else wave
+    if step < 1:
+        raise ValueError(f"a wave needs a page: {step}")
+    given = {key: str(value) for key, value in options.items() if value is not None}
+    root = scratch(spark, "pages")
+    paths: list[str] = []
+    for first in range(1, max_pages + 1, step):
+        last = min(first + step - 1, max_pages)
+        paths.append(f"{root}/from-{first}")
+        reader = spark.read.format("paged_json").options(**given).option("url", url).option("per_page", per_page)
+        reader.option("first_page", first).option("max_pages", last).load().write.parquet(paths[-1])
+        counts = spark.read.schema(schema).parquet(paths[-1]).groupBy("page").count()
+        if counts.where(F.col("count") >= per_page).count() <= last - first:
+            break
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return cut_pages(spark.read.schema(schema).parquet(*paths), per_page, max_pages)
 
 
 def cut_pages(df: DataFrame, per_page: int, max_pages: int | None = None, page: str = "page") -> DataFrame:

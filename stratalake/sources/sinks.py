@@ -13,6 +13,7 @@ from pyspark.util import inheritable_thread_target
 
 from stratalake.functions.text import numbered_id
 from stratalake.operators.history import number_rows
+from stratalake.operators.normalize import RULE, FilterRule, match_rules
 from stratalake.session import scratch
 from stratalake.sources.files import CLOUD_CSV, PLAIN_CSV, delete_path, move_path
 
@@ -94,19 +95,32 @@ def write_partitions(
     return counted(df.hint("rebalance", *keys), write, measures)
 
 
-def write_filtered(frames: Mapping[str, DataFrame], processing: str, curated: str) -> dict[str, int]:
-    """Each filtered table as Parquet, then as CSV from that Parquet; returns row counts.
+def write_matched(df: DataFrame, rules: Sequence[FilterRule], processing: str, curated: str) -> dict[str, int]:
+    """Each rule's rows as Parquet, then as CSV from that Parquet; returns row counts by output.
 
-    The second write reads the first one's files, so the source is scanned and filtered
-    once. A filter that keeps nothing still leaves a table with its columns.
+    The table is scanned once for all rules: rows go to a folder per rule in one write, counted on the way, and the
+    folders are moved into place. A rule that keeps nothing still leaves a table with its columns. Of rules with one
+    output the last counts. The table may not have a column ``_rule`` of its own.
     """
+    spark, kinds = df.sparkSession, df.schema
+    rules = list({rule.output: rule for rule in rules}.values())
+    if not rules:
+        return {}
+    staged = f"{processing.rstrip('/')}/.staged-{uuid.uuid4().hex}"
+    sizes = {str(n): F.count(F.when(F.col(RULE) == n, 1)) for n in range(len(rules))}
+    tagged = match_rules(df, rules).hint("rebalance", RULE)
+    seen = counted(tagged, lambda d: d.write.option("compression", "snappy").partitionBy(RULE).parquet(staged), sizes)
     counts = {}
-    for name, df in frames.items():
-        target = f"{processing}/{name}"
-        counts[name] = write_parquet(df, target, allow_empty=True)
-        kept = df.sparkSession.read.schema(df.schema).parquet(target)
+    for place, rule in enumerate(rules):
+        counts[rule.output], target = seen[str(place)], f"{processing}/{rule.output}"
+        if counts[rule.output]:
+            move_path(spark, f"{staged}/{RULE}={place}", target)
+        else:
+            spark.createDataFrame([], kinds).write.mode("overwrite").parquet(target)
+        kept = spark.read.schema(kinds).parquet(target)
         options = {k: v for k, v in PLAIN_CSV.items() if k != "multiLine"}
-        kept.write.mode("overwrite").options(**options).csv(f"{curated}/{name}")
+        kept.write.mode("overwrite").options(**options).csv(f"{curated}/{rule.output}")
+    delete_path(spark, staged)
     return counts
 
 

@@ -1,9 +1,11 @@
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.operators import normalize
 from stratalake.operators.normalize import FilterRule
 from stratalake.plans import flows
 from stratalake.session import scratch, shared_root
@@ -45,7 +47,7 @@ def test_empty_writes(spark, tmp_path):
         with pytest.raises(sinks.EmptyWrite):
             write(empty, str(tmp_path / "x"))
     assert sinks.write_json(empty, str(tmp_path / "j")) == 0
-    counts = sinks.write_filtered({"none": empty}, str(tmp_path / "p"), str(tmp_path / "c"))
+    counts = sinks.write_matched(empty, [FilterRule("none", "zip", "x")], str(tmp_path / "p"), str(tmp_path / "c"))
     assert counts == {"none": 0} and spark.read.parquet(str(tmp_path / "p" / "none")).columns == empty.columns
 
 
@@ -154,6 +156,58 @@ def test_pages_are_fetched_once(spark, tmp_path, monkeypatch):
         spark.read.format("paged_json").option("url", "file:///none").load().collect()
 
 
+def test_pull_ends_with_the_wave_of_the_short_page(spark, tmp_path):
+    """A page past the first wave is no JSON, so a pull that asked for it would fail."""
+    for n in range(1, 13):
+        body = json.dumps([{"id": i} for i in range(1 if n == 3 else 2)]) if n <= 4 else "broken"
+        (tmp_path / f"{n}.json").write_text(body)
+    url = f"file://{tmp_path}/{{page}}.json"
+    got = paged.read_pages(spark, url, per_page=2, max_pages=1000, wave=4)
+    assert got.count() == 5
+    with pytest.raises(Exception):
+        paged.read_pages(spark, url, per_page=2, max_pages=1000, wave=5).count()
+    # Full pages up to the end of a wave: the next wave has the end, even if it is empty.
+    (tmp_path / "3.json").write_text(json.dumps([{"id": 1}, {"id": 2}]))
+    for n in range(5, 13):
+        (tmp_path / f"{n}.json").unlink()
+    for wave in (1, 2, 3, 4, 9):
+        assert paged.read_pages(spark, url, per_page=2, max_pages=1000, wave=wave).count() == 8
+    assert paged.read_pages(spark, url, per_page=2, max_pages=3, wave=2).count() == 6
+    assert paged.read_pages(spark, url, per_page=2, max_pages=0).count() == 0
+    with pytest.raises(ValueError):
+        paged.read_pages(spark, url, per_page=2, max_pages=3, wave=0)
+
+
+def test_rules_share_one_scan(spark, tmp_path):
+    rows = [(i, [" a ", "b", "c", None][i % 4], str(i % 3)) for i in range(40)]
+    spark.createDataFrame(rows, "id int, kind string, code string").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    rules = [FilterRule("a", "kind", "a"), FilterRule("b=/x", "kind", " b"), FilterRule("one", "code", "1"), FilterRule("no", "kind", "z"), FilterRule("a", "id", "7")]
+    plan = normalize.match_rules(df, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    counts = sinks.write_matched(df, rules, str(tmp_path / "p"), str(tmp_path / "c"))
+    frames = normalize.apply_filters({"t": df}, {"t": rules, "gone": rules})
+    assert counts == {name: frame.count() for name, frame in frames.items()} == {"a": 1, "b=/x": 10, "one": 13, "no": 0}
+    for name, frame in frames.items():
+        kept = spark.read.parquet(str(tmp_path / "p" / name))
+        assert kept.columns == df.columns and sorted(kept.collect(), key=str) == sorted(frame.collect(), key=str)
+    again = sinks.write_matched(df, rules[2:3], str(tmp_path / "p"), str(tmp_path / "c"))
+    assert again == {"one": 13} and sorted(os.listdir(tmp_path / "p")) == ["a", "b=", "no", "one"]
+    assert sinks.write_matched(df, [], str(tmp_path / "p"), str(tmp_path / "c")) == {}
+    with pytest.raises(ValueError):
+        normalize.match_rules(df.withColumn("_rule", F.lit(1)), rules)
+
+
+def test_replacing_keeps_the_old_table_until_the_new_one_stands(spark, tmp_path):
+    old = tmp_path / "t"
+    sinks.write_parquet(zips(spark), str(old))
+    with pytest.raises(OSError):
+        files.move_path(spark, str(tmp_path / "nowhere"), str(old))
+    assert spark.read.parquet(str(old)).count() == zips(spark).count()
+    sinks.write_parquet(zips(spark).limit(1), str(old))
+    assert spark.read.parquet(str(old)).count() == 1 and os.listdir(tmp_path) == ["t"]
+
+
 def test_required_fields(spark):
     files.require_fields(zips(spark), ["zip"])
     with pytest.raises(files.MissingFields, match="id, name"):
