@@ -6,6 +6,8 @@ query and block reach the shuffle that picks the winners.
 
 For keywords that is one walk over the chunks while the queries fit one block, which no index
 can beat; more queries go through the token index (``tokenindex``), whose work grows with hits.
+For vectors more queries than a block open only the groups of chunks they cannot rule out
+(``vectorgroups``).
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stratalake.functions.embedding import DIMENSIONS, hash_vectors, hashed_vector, words_of
-from stratalake.operators import tokenindex
+from stratalake.operators import tokenindex, vectorgroups
 
 TOP_K = 4
 MAX_QUERIES = 4096
@@ -195,13 +197,8 @@ def _blocks(df: DataFrame, rows: int, size: int) -> DataFrame:
     return df.agg(F.greatest(F.lit(1), F.ceil(need)).cast("int").alias("n"))
 
 
-def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], ties: Sequence[str], carry: Sequence[str], k: int, max_queries: int, max_bytes: int, max_chunks: int) -> DataFrame:
-    """The best of every pair of blocks: a block of queries meets a block of chunks in one bounded group.
-
-    The numbers of blocks are one-row aggregates inside the plan, so nothing runs while it is built
-    and every size takes the same way.
-    """
-    out = T.StructType(
+def _found_schema(queries: DataFrame, chunks: DataFrame, carry: Sequence[str]) -> T.StructType:
+    return T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
             T.StructField("list", T.StringType()),
@@ -209,6 +206,15 @@ def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepa
             *[T.StructField(name, chunks.schema[name].dataType) for name in carry],
         ]
     )
+
+
+def _candidates(queries: DataFrame, chunks: DataFrame, lists: Mapping[str, Prepare], ties: Sequence[str], carry: Sequence[str], k: int, max_queries: int, max_bytes: int, max_chunks: int) -> DataFrame:
+    """The best of every pair of blocks: a block of queries meets a block of chunks in one bounded group.
+
+    The numbers of blocks are one-row aggregates inside the plan, so nothing runs while it is built
+    and every size takes the same way.
+    """
+    out = _found_schema(queries, chunks, carry)
     # A group takes its queries a few at a time, which saves copies of the chunks.
     query_blocks = _blocks(queries, max_queries * PARTS_PER_BLOCK, max_bytes)
     chunk_blocks = _blocks(chunks, max_chunks, BLOCK_BYTES)
@@ -259,7 +265,8 @@ def _asked(queries: DataFrame) -> DataFrame:
 
 def _one_block(asked: DataFrame, max_queries: int, max_bytes: int) -> bool:
     """Whether the queries fit one block of a walk; at most one row more than that is read."""
-    size = F.coalesce(F.sum(F.octet_length("query")), F.lit(0)).alias("bytes")
+    weight = F.octet_length("query") if "query" in asked.columns else F.size("vector") * 8
+    size = F.coalesce(F.sum(weight), F.lit(0)).alias("bytes")
     found = asked.limit(max_queries + 1).agg(F.count(F.lit(1)).alias("rows"), size).first()
     return found["rows"] <= max_queries and found["bytes"] <= max_bytes
 
@@ -277,17 +284,42 @@ def keyword_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], ca
     return top_k(asked, chunks, lists, _KEYWORD_NEEDS, ties, carry, k, max_queries, max_bytes, max_chunks).drop("list")
 
 
-def vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, **bounds: int) -> DataFrame:
-    """Queries (query_id, vector) over chunks with a vector column."""
+def grouped_vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, rows: int = vectorgroups.ROWS) -> DataFrame:
+    """Queries (query_id, vector) over chunks with a vector column, by groups of ``rows`` chunks."""
+    carried = list(dict.fromkeys([*carry, *ties]))
+    read = chunks.select(*dict.fromkeys([*carried, "vector"]))
+    groups = vectorgroups.build(read, ties, rows)
+    lists = {"vector": vector_scorer}
+    schema = _found_schema(queries, chunks, carried)
+
+    def best(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        return _top_of(iter([theirs]), mine, lists, ties, carried, k)
+
+    found = vectorgroups.candidates(queries.select("query_id", "vector"), groups, best, schema, k)
+    return _ranked(found, ties, k).drop("list")
+
+
+def vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES, max_chunks: int = CHUNKS_PER_BLOCK) -> DataFrame:
+    """Queries (query_id, vector) over chunks with a vector column.
+
+    Up to ``max_queries`` queries of ``max_bytes`` in all are answered by one walk over the chunks, more by groups
+    of about ``max_chunks`` chunks. Both ways give the same rows.
+    """
     wanted = queries.select("query_id", "vector")
+    if not _one_block(wanted, max_queries, max_bytes):
+        return grouped_vector_top_k(wanted, chunks, ties, carry, k, max_chunks)
     lists = {"vector": vector_scorer}
-    return top_k(wanted, chunks, lists, ("vector",), ties, carry, k, **bounds).drop("list")
+    return top_k(wanted, chunks, lists, ("vector",), ties, carry, k, max_queries, max_bytes, max_chunks).drop("list")
 
 
-def text_vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, **bounds: int) -> DataFrame:
-    """Queries (query_id, query) over chunk texts by hashed vectors, none of them stored."""
+def text_vector_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES, max_chunks: int = CHUNKS_PER_BLOCK) -> DataFrame:
+    """Queries (query_id, query) over chunk texts by hashed vectors; stored only where groups are made of them."""
+    asked = _asked(queries)
+    if not _one_block(asked, max_queries, max_bytes):
+        made = with_hashed_vectors(chunks, "text", dimensions)
+        return grouped_vector_top_k(with_hashed_vectors(asked, "query", dimensions), made, ties, carry, k, max_chunks)
     lists = {"vector": text_scorer(dimensions)}
-    return top_k(_asked(queries), chunks, lists, ("text",), ties, carry, k, **bounds).drop("list")
+    return top_k(asked, chunks, lists, ("text",), ties, carry, k, max_queries, max_bytes, max_chunks).drop("list")
 
 
 def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], carry: Sequence[str] = ("id",), k: int = TOP_K, dimensions: int = DIMENSIONS, constant: int = 60, stored: bool = False, max_queries: int = MAX_QUERIES, max_bytes: int = MAX_QUERY_BYTES, max_chunks: int = CHUNKS_PER_BLOCK) -> DataFrame:
@@ -306,9 +338,12 @@ def hybrid_top_k(queries: DataFrame, chunks: DataFrame, ties: Sequence[str], car
     if _one_block(asked, max_queries, max_bytes):
         hits = top_k(asked, chunks, lists, needs, ties, carry, k, *bounds)
     else:
-        by_vector = top_k(asked, chunks, {"vector": lists["vector"]}, needs, ties, carry, k, *bounds)
+        if stored:
+            by_vector = grouped_vector_top_k(asked, chunks, ties, carry, k, max_chunks)
+        else:
+            by_vector = text_vector_top_k(asked, chunks, ties, carry, k, dimensions, *bounds)
         by_words = tokenindex.keyword_top_k(asked, chunks, ties, carry, k)
-        hits = by_vector.unionByName(by_words.withColumn("list", F.lit("keyword")))
+        hits = by_vector.unionByName(by_words)
     keys = list(dict.fromkeys(["query_id", *carry, *ties]))
     part = F.sum(F.lit(1.0) / (F.col("rank") + constant))
     return _ranked(hits.groupBy(*keys).agg(F.round(part, 12).alias("score")), ties, k)

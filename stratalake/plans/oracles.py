@@ -737,3 +737,5 @@ ORACLES["label_cosine"] = """
     SELECT vec_id, round(sum(x.v * m.v) / (sqrt(sum(x.v * x.v)) * sqrt(sum(m.v * m.v))), 9) AS cosine
     FROM x JOIN m USING (label, pos) GROUP BY vec_id"""
 ORACLES["hybrid_stored_topk"] = ORACLES["hybrid_topk"]
+# The same rows by another way.
+ORACLES["vector_groups_topk"] = ORACLES["vector_topk"]

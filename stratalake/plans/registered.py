@@ -760,6 +760,13 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(retrieval.vector_top_k(means, chunks, ["vec_id"]))
 
 
+def vector_groups_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search by groups of chunks, which large query tables take."""
+    e = table(spark, sf_dir, "embeddings")
+    chunks = e.select("vec_id", F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("vector"))
+    return _scored(retrieval.grouped_vector_top_k(label_means(e), chunks, ["vec_id"]))
+
+
 def vector_topk_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mean vector of each label against all vectors, those of label 3 spoilt: they score no number and are no hits."""
     e = table(spark, sf_dir, "embeddings")
@@ -1017,7 +1024,7 @@ QUERIES: dict[str, Query] = {
         customers_by_nation, bi_join, seed_customers, seed_sellers, seed_orders, seed_items,
         seed_payments, seed_reviews, page_cut, required_fields, llm_json_extract, route_extract,
         prompt_fingerprint, storage_uris, chunk_documents, chunk_pages, page_split,
-        chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, keyword_index_topk, vector_topk,
+        chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, keyword_index_topk, vector_topk, vector_groups_topk,
         vector_topk_gaps, text_vector_topk, hybrid_topk, hybrid_stored_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
         notes, retrieval_eval, eval_pass_rate, prompt_context, followup_binding, last_turn,
         preference_profile, preference_profile_few, trace_summary, last_trace, stream_dedupe,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.functions.embedding import hash_vectors, words_of
-from stratalake.operators import cards, retrieval, tokenindex
+from stratalake.operators import cards, retrieval, tokenindex, vectorgroups
 from stratalake.operators.chunking import chunk_texts
 from stratalake.sources import sinks
 from tests.test_chunking import FIXTURE
@@ -150,6 +150,58 @@ def test_vector_against_loop(spark):
     assert as_set(retrieval.vector_top_k(qdf, cdf.repartition(4), ["ord"], max_queries=1)) == expected
 
 
+def clustered(spark, centres=12, each=40, width=16, seed=3):
+    """Tight clusters, one of them of copies, with null, empty, zero, spoilt and short vectors among them."""
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, width))
+    vectors = [(middle[c] + 0.02 * rng.normal(size=width)).tolist() for c in range(centres) for _ in range(each)]
+    vectors += [middle[0].tolist()] * 150
+    vectors += [None, [], [0.0] * width, [float("nan")] * width, [1.0, 2.0], [-1.0], [float("inf")] * width]
+    chunks = spark.createDataFrame([(str(i), i, v) for i, v in enumerate(vectors)], "id string, ord long, vector array<double>")
+    asked_vectors = [(middle[i % centres] + 0.05 * rng.normal(size=width)).tolist() for i in range(60)]
+    asked_vectors += [None, [], [0.0] * width, [1.0], rng.normal(size=width + 3).tolist(), middle[0].tolist()]
+    queries = spark.createDataFrame(list(enumerate(asked_vectors)), "query_id long, vector array<double>")
+    return queries, chunks.repartition(4)
+
+
+@pytest.mark.parametrize("rows, k", [(20, 4), (7, 1), (50, 30), (10_000, 4)])
+def test_groups_and_walk_agree(spark, rows, k):
+    queries, chunks = clustered(spark)
+    walk = retrieval.vector_top_k(queries, chunks, ["ord"], k=k)
+    got = retrieval.grouped_vector_top_k(queries, chunks, ["ord"], k=k, rows=rows)
+    assert got.columns == walk.columns and as_set(got) == as_set(walk) and walk.count() > 0
+
+
+def test_groups_are_skipped(spark):
+    queries, chunks = clustered(spark)
+    groups = vectorgroups.build(chunks, ["ord"], 20)
+    centres = groups.centres.collect()
+    assert sum(c.rows for c in centres) == groups.members.count() == 12 * 40 + 150 + 2
+    # Copies of one vector do not make one large group.
+    assert max(c.rows for c in centres) <= 60 and len(centres) > 20
+    first = vectorgroups.nearest(queries.where("query_id < 60"), groups, 4)
+    known = queries.join(first, "query_id").withColumn("floor", F.lit(0.98))
+    more = vectorgroups.reached(known, groups).count()
+    assert first.count() == 60 and more < 60 * len(centres) / 4
+
+
+def test_group_bounds_hold():
+    rng = np.random.default_rng(8)
+    for spread in (1e-9, 0.01, 0.5, 3.0):
+        members = vectorgroups.units((rng.normal(size=8) + spread * rng.normal(size=(50, 8))).tolist(), 8)
+        centre = vectorgroups.units([members.sum(axis=0)], 8)
+        radius = np.array([np.arccos(np.clip(members @ centre[0], -1, 1)).max()])
+        queries = np.vstack([vectorgroups.units(rng.normal(size=(200, 8)).tolist(), 8), members, -members])
+        assert ((queries @ members.T).max(axis=1) <= vectorgroups.bounds(queries, centre, radius)[:, 0]).all()
+
+
+def test_no_vectors(spark):
+    queries, chunks = clustered(spark)
+    assert retrieval.grouped_vector_top_k(queries, chunks.limit(0), ["ord"]).count() == 0
+    assert retrieval.grouped_vector_top_k(queries.limit(0), chunks, ["ord"]).count() == 0
+    assert as_set(retrieval.vector_top_k(queries, chunks, ["ord"], max_queries=9)) == as_set(retrieval.vector_top_k(queries, chunks, ["ord"]))
+
+
 def test_nearest_chunk(spark):
     rows = [("a", 1, "o ciclo de vida da engenharia de dados cobre geracao e ingestao"), ("b", 2, "receitas de cerveja artesanal e lupulo")]
     chunks = spark.createDataFrame(rows, "id string, ord int, text string")
