@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.operators import quality
 from stratalake.operators.chunking import chunk_texts
-from stratalake.operators.history import current_versions, flag_current, last_wins, upsert
+from stratalake.operators.history import current_versions, flag_current, last_wins
 from stratalake.operators.metrics import order_kpis
 from stratalake.operators.normalize import (
     FilterRule,
@@ -24,7 +24,7 @@ from stratalake.operators.normalize import (
 )
 from stratalake.operators.retrieval import with_hashed_vectors
 from stratalake.session import scratch
-from stratalake.sources import catalog, files, sinks
+from stratalake.sources import buckets, catalog, files, sinks
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -148,19 +148,15 @@ def run_shop(
 
 
 def run_knowledge(texts: DataFrame, chunk_path: str, vector_path: str | None = None, **sizes: int) -> dict[str, int]:
-    """Texts to the chunk table and, when asked, the vector table keyed by chunk id."""
+    """Texts to the chunk table and, when asked, the vector table keyed by chunk id.
+
+    The vector table is kept in buckets (``sources.buckets``), of which a run rewrites those that its chunks touch.
+    """
     spark = texts.sparkSession
     chunks = chunk_texts(texts, **sizes)
     stats = {"chunks": sinks.write_parquet(chunks, chunk_path, allow_empty=True), "indexed": 0}
     if vector_path:
         stored = spark.read.schema(chunks.schema).parquet(chunk_path)
         fresh = with_hashed_vectors(stored).select("id", "vector")
-        if files.path_exists(spark, vector_path):
-            old = spark.read.parquet(vector_path)
-            fresh = upsert(old, fresh, "id")
-            # The old table is an input of the new one, so the new one gets its own folder first.
-            staged = scratch(spark, "vectors")
-            sinks.write_parquet(fresh, staged, allow_empty=True)
-            fresh = spark.read.parquet(staged)
-        stats["indexed"] = sinks.write_parquet(fresh, vector_path, allow_empty=True)
+        stats["indexed"] = buckets.upsert_table(fresh, vector_path, "id")["rows"]
     return stats

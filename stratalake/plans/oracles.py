@@ -739,3 +739,4 @@ ORACLES["label_cosine"] = """
 ORACLES["hybrid_stored_topk"] = ORACLES["hybrid_topk"]
 # The same rows by another way.
 ORACLES["vector_groups_topk"] = ORACLES["vector_topk"]
+ORACLES["bucket_upsert"] = ORACLES["vector_upsert"]

@@ -16,7 +16,7 @@ from stratalake.operators import cards, generate, history, metrics, normalize, q
 from stratalake.operators.chunking import chunk_defaults, chunk_texts, split_pages
 from stratalake.plans import flows
 from stratalake.session import scratch
-from stratalake.sources import catalog, files, jdbc, paged, sinks
+from stratalake.sources import buckets, catalog, files, jdbc, paged, sinks
 from stratalake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -660,7 +660,7 @@ def whole_text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = files.read_whole_text(spark, f"{root}/texts")
     flows.run_knowledge(texts, f"{root}/chunks", f"{root}/vectors")
     made = spark.read.parquet(f"{root}/chunks")
-    vectors = spark.read.parquet(f"{root}/vectors")
+    vectors = buckets.read_table(spark, f"{root}/vectors")
     return retrieval.attach_vectors(made, vectors).select(
         F.regexp_extract("source_id", "^conv_id=([0-9]+)/", 1).cast("long").alias("conv_id"),
         F.regexp_extract("id", "-p([0-9]+-[0-9]+)$", 1).alias("place"),
@@ -803,6 +803,17 @@ def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
+def bucket_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch sent to a stored table in buckets, of which the touched ones are rewritten."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    again = e.where("label = 3").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    path = scratch(spark, "vectors")
+    buckets.upsert_table(e, path, "vec_id")
+    buckets.upsert_table(again.unionByName(again.withColumn("vec_id", -F.col("vec_id") - 1)), path, "vec_id")
+    made = buckets.read_table(spark, path).select("vec_id", "label", F.posexplode("embedding").alias("dimension", "x"))
+    return made.withColumn("x", F.round(F.col("x").cast("double"), 6))
+
+
 def found_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark texts and a question nothing answers, each with its hits.
 
@@ -1025,7 +1036,7 @@ QUERIES: dict[str, Query] = {
         seed_payments, seed_reviews, page_cut, required_fields, llm_json_extract, route_extract,
         prompt_fingerprint, storage_uris, chunk_documents, chunk_pages, page_split,
         chunk_projection, whole_text_chunks, hashed_embeddings, custom_embeddings, label_cosine, keyword_topk, keyword_index_topk, vector_topk, vector_groups_topk,
-        vector_topk_gaps, text_vector_topk, hybrid_topk, hybrid_stored_topk, vector_upsert, retrieval_cards, example_cards, quote_cards,
+        vector_topk_gaps, text_vector_topk, hybrid_topk, hybrid_stored_topk, vector_upsert, bucket_upsert, retrieval_cards, example_cards, quote_cards,
         notes, retrieval_eval, eval_pass_rate, prompt_context, followup_binding, last_turn,
         preference_profile, preference_profile_few, trace_summary, last_trace, stream_dedupe,
         stream_dedupe_watermark, stream_incremental,

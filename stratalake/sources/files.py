@@ -190,7 +190,8 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
     old, new = hadoop.Path(source), hadoop.Path(target)
-    aside = hadoop.Path(f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex}")
+    # Readers skip names that begin with a dot.
+    aside = hadoop.Path(new.getParent() or hadoop.Path("."), f".{new.getName()}.replaced-{uuid.uuid4().hex}")
     system = old.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(old):
         raise OSError(f"cannot move {source} to {target}: it is not there")

@@ -9,7 +9,7 @@ from stratalake.operators import normalize
 from stratalake.operators.normalize import FilterRule
 from stratalake.plans import flows
 from stratalake.session import scratch, shared_root
-from stratalake.sources import catalog, files, jdbc, paged, sinks
+from stratalake.sources import buckets, catalog, files, jdbc, paged, sinks
 
 ZIPS = [("c1", "01000", "RJ", 'say "hi", x'), ("c2", "20000", "SP", "back\\slash"), ("c3", "00001", " RJ ", None)]
 ZIP_COLUMNS = "customer_id string, zip string, customer_state string, note string"
@@ -113,7 +113,7 @@ def test_whole_text_ids_are_unique(spark, tmp_path):
         ids = sorted(r.source_id for r in files.read_whole_text(spark.newSession() if path.endswith("*") else spark, path + ("" if path.endswith("*") else "/*/*.txt")).collect())
         assert ids == ["a/same", "b c/same", "d+e/same"]
     flows.run_knowledge(files.read_whole_text(spark, str(tmp_path / "texts" / "*")), str(tmp_path / "chunks"), str(tmp_path / "vectors"))
-    chunks, vectors = (spark.read.parquet(str(tmp_path / n)) for n in ("chunks", "vectors"))
+    chunks, vectors = spark.read.parquet(str(tmp_path / "chunks")), buckets.read_table(spark, str(tmp_path / "vectors"))
     joined = retrieval.attach_vectors(chunks, vectors)
     assert joined.count() == chunks.count() == 3 and joined.columns == [*chunks.columns, "vector"]
     few = chunks.limit(2)
@@ -317,6 +317,52 @@ def test_knowledge_run_upserts(spark, tmp_path):
     assert flows.run_knowledge(df, paths[0])["indexed"] == 0
 
 
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    columns = "id string, x int"
+    rows = [(f"k{i}", i) for i in range(500)]
+    made = buckets.upsert_table(spark.createDataFrame([*rows, (None, 1), (" ", 2)], columns), path, "id", 16)
+    assert made == {"rows": 500, "buckets": 16, "rewritten": 500}
+
+    def folders():
+        return {name: sorted(os.listdir(tmp_path / "t" / "buckets=16" / name)) for name in os.listdir(tmp_path / "t" / "buckets=16")}
+
+    before = folders()
+    batch = spark.createDataFrame([("k7", -7), ("new", 1)], columns)
+    sent = buckets.upsert_table(batch, path, "id", 99)
+    after = folders()
+    changed = {name for name in after if after[name] != before.get(name)}
+    assert sent["rows"] == 2 and len(changed) == sent["buckets"] <= 2 and set(after) == set(before)
+    assert 2 <= sent["rewritten"] < 150
+    expected = {**dict(rows), "k7": -7, "new": 1}
+    assert {tuple(r) for r in buckets.read_table(spark, path).collect()} == set(expected.items())
+    # Sent again, as after a run that was cut short, it gives the same table.
+    assert buckets.upsert_table(batch, path, "id") == sent
+    assert buckets.upsert_table(batch.limit(0), path, "id") == {"rows": 0, "buckets": 0, "rewritten": 0}
+    before = folders()
+    with pytest.raises(ValueError, match="repeats key new"):
+        buckets.upsert_table(spark.createDataFrame([("new", 5), ("new", 6)], columns), path, "id")
+    assert folders() == before
+    buckets.rebucket(spark, path, "id", 5)
+    assert buckets.bucket_count(spark, path) == 5 and os.listdir(tmp_path / "t") == ["buckets=5"]
+    assert {tuple(r) for r in buckets.read_table(spark, path).collect()} == set(expected.items())
+
+
+def test_bucket_table_edges(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert buckets.bucket_count(spark, path) is None
+    empty = spark.createDataFrame([], "id long, x array<double>")
+    assert buckets.upsert_table(empty, path, "id") == {"rows": 0, "buckets": 0, "rewritten": 0}
+    assert buckets.read_table(spark, path).columns == ["id", "x"] and buckets.read_table(spark, path).count() == 0
+    buckets.upsert_table(spark.createDataFrame([(1, [1.0]), (-5, None)], empty.schema), path, "id")
+    assert sorted(r.id for r in buckets.read_table(spark, path).collect()) == [-5, 1]
+    with pytest.raises(ValueError, match="of its own"):
+        buckets.upsert_table(empty.withColumn("bucket", F.lit(1)), path, "id")
+    (tmp_path / "other").mkdir()
+    with pytest.raises(ValueError, match="no table"):
+        buckets.read_table(spark, str(tmp_path / "other"))
+
+
 def test_shared_folder(spark):
     first, second = scratch(spark, "x"), scratch(spark, "x")
     assert first != second and first.startswith(shared_root(spark).rstrip("/"))
