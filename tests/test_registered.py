@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_points
+from stratalake.plans import registered
 from stratalake.plans.oracles import ORACLES
 from stratalake.plans.registered import QUERIES, TABLES
 
@@ -94,3 +95,20 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(ts,2024-01-24" in plan and "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan
     plan = plan_of(spark, sf_dir, "fk_orphans")
     assert "EqualTo(o_orderstatus,F)" in plan and "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
+def test_entity_rows_are_dealt_out_before_they_are_widened(spark, tmp_path):
+    """One small file of many customers, one of them twice and one without a key: no task gets most of the wide rows."""
+    keys = "CASE WHEN id = 999 THEN NULL WHEN id = 998 THEN 1 ELSE id END"
+    customers = spark.range(1000).selectExpr(
+        f"{keys} AS c_custkey", f"concat('Customer#', {keys}) AS c_name", "cast(id % 2 AS int) AS c_nationkey",
+        "cast(id AS double) AS c_acctbal", "'BUILDING' AS c_mktsegment",
+    )
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    nations = "SELECT * FROM VALUES (0, 'A_B', 0), (1, 'C', 0) AS t(n_nationkey, n_name, n_regionkey)"
+    spark.sql(nations).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 0 AS r_regionkey, 'EUROPE' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    sizes = registered.entity_landing(spark, str(tmp_path)).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 2000 and max(sizes) < 1000
+    made = QUERIES["entity_silver"](spark, str(tmp_path)).collect()
+    assert sorted(r["id"] for r in made) == sorted(f"b-{n}" for n in range(998))
