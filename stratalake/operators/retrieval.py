@@ -31,6 +31,8 @@ MAX_QUERY_BYTES = 64 * 2**20
 CHUNKS_PER_BLOCK, BLOCK_BYTES = 2_000, 16 * 2**20
 PARTS_PER_BLOCK = 16
 _CELLS = 4_000_000
+#: Found (token, query, chunk) triples that a keyword scorer counts at a time; one chunk may hold more.
+_TRIPLES = 500_000
 
 #: Scores a frame of chunks against the prepared queries: array (queries, chunks).
 Scorer = Callable[[pd.DataFrame], np.ndarray]
@@ -56,24 +58,38 @@ def keyword_scorer(queries: pd.DataFrame) -> Scorer:
     starts = np.cumsum(degree) - degree
     tokens_in = _finder(vocabulary)
 
-    def score(chunks: pd.DataFrame) -> np.ndarray:
-        count = len(chunks)
-        hits: list[int] = []
-        owners: list[int] = []
-        cells = zip(chunks["title"], chunks["text"], chunks["source_id"])
-        for column, (title, text, source) in enumerate(cells):
-            found = tokens_in(f"{title or ''} {text or ''} {source or ''}".lower())
-            hits.extend(found)
-            owners.extend([column] * len(found))
-        token = np.array(hits, dtype=np.int64)
+    def counted(found: list[np.ndarray]) -> np.ndarray:
+        """How many tokens of each query stand in each of some chunks: array (queries, chunks)."""
+        count = len(found)
+        token = np.concatenate(found)
+        owners = np.repeat(np.arange(count), [len(tokens) for tokens in found])
         many = degree[token]
         ends = np.cumsum(many)
         total = int(ends[-1]) if len(ends) else 0
         # Position of every (token, query) pair in the lists of queries.
         place = np.arange(total) - np.repeat(ends - many, many) + np.repeat(starts[token], many)
-        cell = users[place] * count + np.repeat(np.array(owners, dtype=np.int64), many)
-        found_counts = np.bincount(cell, minlength=len(sizes) * count)
-        return found_counts.reshape(len(sizes), count) / sizes[:, None]
+        cell = users[place] * count + np.repeat(owners, many)
+        return np.bincount(cell, minlength=len(sizes) * count).reshape(len(sizes), count)
+
+    def score(chunks: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(sizes), len(chunks)))
+        held: list[np.ndarray] = []
+        triples = 0
+        cells = zip(chunks["title"], chunks["text"], chunks["source_id"])
+        for column, (title, text, source) in enumerate(cells):
+            tokens = tokens_in(f"{title or ''} {text or ''} {source or ''}".lower())
+            found = np.fromiter(tokens, dtype=np.int64, count=len(tokens))
+            more = int(degree[found].sum())
+            # Counted a few chunks at a time: the triples grow with the queries as well as with the chunks.
+            if held and triples + more > _TRIPLES:
+                out[:, column - len(held) : column] = counted(held)
+                held, triples = [], 0
+            held.append(found)
+            triples += more
+        if held:
+            out[:, len(chunks) - len(held) :] = counted(held)
+        out /= sizes[:, None]
+        return out
 
     return score
 

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,3 +336,24 @@ def test_scores_that_are_no_numbers_lose_no_hits(spark):
         chunks = spark.createDataFrame(rows, "n long, id string, vector array<double>").coalesce(1)
         hits = retrieval.vector_top_k(query, chunks, ["n"], k=4).orderBy("rank").collect()
         assert [r.id for r in hits] == ["0", "1", "2", "3"]
+
+
+def test_keyword_scorer_counts_hits_in_bounded_parts(monkeypatch):
+    """Many queries of common words: what is held at a time does not grow with queries x words x chunks."""
+    words = [f"word{i:02d}" for i in range(20)]
+    queries = pd.DataFrame({"query": [" ".join(words[i % 5 :]) for i in range(300)] + ["", None]})
+    texts = [None, "", *[" ".join(words[: i % 21]) for i in range(400)]]
+    chunks = pd.DataFrame({"title": None, "text": texts, "source_id": "s"}, dtype=object)
+    score = retrieval.keyword_scorer(queries)
+    tracemalloc.start()
+    whole = score(chunks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * 2**20
+    for row in (0, 4, 300, 301):
+        mine = words[row % 5 :] if row < 300 else []
+        want = [sum(w in (t or "") for w in mine) / max(len(mine), 1) for t in texts]
+        assert whole[row].tolist() == want
+    monkeypatch.setattr(retrieval, "_TRIPLES", 1)
+    assert (score(chunks) == whole).all()
+    assert score(chunks.iloc[:0]).shape == (302, 0)
