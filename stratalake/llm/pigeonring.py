@@ -135,11 +135,12 @@ def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS,
     filed = _keys(nodes, distance, segments)
     counts = filed.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     path = scratch(nodes.sparkSession, "keys")
-    filed.join(counts, ["slot", "key"]).write.parquet(path)
+    # Spark sizes the rows of ``inline`` as those before it, so left alone it would broadcast all keys of a middling table
+    filed.join(counts.hint("merge"), ["slot", "key"]).write.parquet(path)
     members = nodes.sparkSession.read.parquet(path)
     few = members.where(F.col("n") <= crowd).drop("n")
     x, y = few.alias("x"), few.alias("y")
-    met = x.join(y, (F.col("x.slot") == F.col("y.slot")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.bits") < F.col("y.bits")))
+    met = x.join(y.hint("merge"), (F.col("x.slot") == F.col("y.slot")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.bits") < F.col("y.bits")))
     met = met.where(chained(F.col("x.turned").bitwiseXOR(F.col("y.turned")), distance, segments))
     near = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= distance
     direct = met.where(near).select(F.col("x.bits").alias("a"), F.col("y.bits").alias("b"))
@@ -181,10 +182,11 @@ def clusters(
     parts = stored(rows.groupBy("bits", "part").agg(F.min(key).alias("least")), "parts")
     nodes = parts.groupBy("bits").agg(F.min("least").alias("least"))
     labels = components(stored(links(nodes.select("bits"), distance, segments), "links"))
-    named = nodes.join(labels, nodes["bits"] == labels["node"]).select("bits", "label", "least")
+    # stored columns are packed smaller than they are in memory: nothing that grows with the documents is broadcast by its file's size
+    named = nodes.join(labels.hint("merge"), nodes["bits"] == labels["node"]).select("bits", "label", "least")
     groups = named.groupBy("label").agg(F.min("least").alias("component"))
-    linked = named.select("bits", "label").join(groups, "label").select("bits", "component")
-    own = nodes.join(linked, "bits", "left").select("bits", F.coalesce("component", "least").alias("component_id"))
-    dealt = parts.select("bits", "part").join(own, "bits")
+    linked = named.select("bits", "label").join(groups.hint("merge"), "label").select("bits", "component")
+    own = nodes.join(linked.hint("merge"), "bits", "left").select("bits", F.coalesce("component", "least").alias("component_id"))
+    dealt = parts.select("bits", "part").join(own.hint("merge"), "bits")
     digits = F.lower(F.lpad(F.hex("bits"), 16, "0"))
-    return rows.join(dealt, ["bits", "part"]).select(key, digits.alias("fingerprint"), "component_id")
+    return rows.join(dealt.hint("merge"), ["bits", "part"]).select(key, digits.alias("fingerprint"), "component_id")

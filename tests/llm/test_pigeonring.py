@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from stratalake.llm import pigeonring
 
@@ -84,3 +85,17 @@ def test_repeated_missing_ids_and_empty_tables(spark):
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in made) == [
         ("5", "5"), ("5", "5"), ("9", "5"), ("None", "5"), ("None", "None"), ("None", "None")]
     assert pigeonring.clusters(docs(spark, [])).count() == 0
+
+
+def test_exploded_keys_are_not_broadcast(spark, monkeypatch):
+    """Few nodes are a small table, their keys are not: a middling table must not go through the driver."""
+    plans = []
+    plain = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a: (plans.append(self._df), plain(self, path, *a))[1])
+    nodes = spark.range(3000).select(F.xxhash64("id").alias("bits"))
+    plans.append(pigeonring.links(nodes))
+    rows = [(i, f"words of text {i // 2} of many") for i in range(200)]
+    plans.append(pigeonring.clusters(docs(spark, rows)))
+    first, direct, last = plans[0], plans[1], plans[-1]
+    for frame in (first, direct, last):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
